@@ -46,7 +46,7 @@ def floor_time(ts: Column, every: timedelta) -> Column:
 def block_of(ts: Column, spec: SeriesSpec) -> Column:
     """Number of the time block that holds ``ts``."""
     us = micros(ts)
-    return ((us - F.pmod(us, F.lit(spec.block_us))) / spec.block_us).cast("bigint")
+    return F.call_function("div", us - F.pmod(us, F.lit(spec.block_us)), F.lit(spec.block_us))
 
 
 def phase_of(ts: Column, spec: SeriesSpec) -> Column:
