@@ -105,7 +105,8 @@ def forecast_path(
         )
         if step % STEPS_PER_PLAN == 0 and step < horizon:
             current = cut_lineage(current)
-    return current.select(*ids, F.explode("_path").alias("_p")).select(
+    # Outer, because a plain explode adds a non-empty test that the optimizer pushes through every step.
+    return current.select(*ids, F.explode_outer("_path").alias("_p")).select(
         *ids,
         F.col("_p.ts").alias(spec.time_col),
         F.col("_p.lags").alias("_lags"),
