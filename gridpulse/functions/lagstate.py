@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.functions.calendar import calendar_features
 from gridpulse.spec import SeriesSpec, lag_name, mean_name
 
 
-def lag_array(spec: SeriesSpec) -> Column:
-    return F.array(*[F.col(name) for name in spec.lag_names])
+def trailing_mean(spec: SeriesSpec, k: int) -> Column:
+    """Mean of the columns ``lag_1 .. lag_k``."""
+    total = " + ".join(lag_name(i) for i in range(1, k + 1))
+    return F.expr(f"({total}) / {k}").alias(mean_name(k))
+
+
+def features_from_lags(df: DataFrame, spec: SeriesSpec, keep: list[str]) -> DataFrame:
+    """``keep``, then the full feature list in order, from the time and lag columns of ``df``."""
+    calendar = calendar_features(F.col(spec.time_col), spec.zone)
+    return df.select(
+        *keep,
+        *[column.alias(name) for name, column in calendar.items()],
+        *[trailing_mean(spec, k) for k in spec.mean_sizes],
+        *spec.lag_names,
+    )
 
 
 def advance(lags: Column, value: Column, spec: SeriesSpec) -> Column:
@@ -18,20 +31,12 @@ def advance(lags: Column, value: Column, spec: SeriesSpec) -> Column:
     return F.concat(F.slice(lags, 2, spec.max_lag - 1), F.array(value))
 
 
-def lag_at(lags: Column, k: int) -> Column:
-    return F.element_at(lags, -k)
-
-
-def mean_of_last(lags: Column, k: int) -> Column:
-    total = lag_at(lags, 1)
-    for i in range(2, k + 1):
-        total = total + lag_at(lags, i)
-    return total / k
-
-
-def features_of_state(ts: Column, lags: Column, spec: SeriesSpec) -> list[Column]:
-    """The full feature list, in order, of the row at ``ts`` whose lags are ``lags``."""
-    by_name = calendar_features(ts, spec.zone)
-    by_name.update({mean_name(k): mean_of_last(lags, k) for k in spec.mean_sizes})
-    by_name.update({lag_name(k): lag_at(lags, k) for k in spec.lags})
-    return [by_name[name].alias(name) for name in spec.feature_names]
+def features_of_state(
+    df: DataFrame, spec: SeriesSpec, keep: list[str], lags: str = "_lags"
+) -> DataFrame:
+    """``keep`` and the feature list of rows whose lags are the array column ``lags``."""
+    spread = df.selectExpr(
+        *dict.fromkeys([*keep, spec.time_col]),
+        *[f"element_at({lags}, {-k}) AS {lag_name(k)}" for k in spec.lags],
+    )
+    return features_from_lags(spread, spec, keep)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.calendar import calendar_features, daypart_flags, hour_encoding, local_hour
+from gridpulse.functions.calendar import daypart_flags, hour_encoding, local_hour
+from gridpulse.functions.lagstate import features_from_lags, trailing_mean
 from gridpulse.operators.blocks import BLOCK, HALO, with_preceding_rows
-from gridpulse.spec import SeriesSpec, lag_name, mean_name
+from gridpulse.spec import SeriesSpec, lag_name
 
 
 def lag_features(
@@ -33,12 +34,6 @@ def lag_features(
     return lagged.select(*spec.key, *spec.lag_names, spec.target_col)
 
 
-def trailing_mean(spec: SeriesSpec, k: int) -> Column:
-    """Mean of ``lag_1 .. lag_k``."""
-    total = " + ".join(lag_name(i) for i in range(1, k + 1))
-    return F.expr(f"({total}) / {k}").alias(mean_name(k))
-
-
 def window_mean_features(df: DataFrame, spec: SeriesSpec, gap_free: bool = False) -> DataFrame:
     """Trailing means over the last ``step, 2*step, .. max_lag`` rows, the row itself excluded."""
     return lag_features(df, spec, gap_free).select(
@@ -56,11 +51,6 @@ def with_daypart_flags(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 def feature_frame(df: DataFrame, spec: SeriesSpec, gap_free: bool = False) -> DataFrame:
     """Key, features and label, in the model's column order; one shuffle, one sort."""
-    calendar = calendar_features(F.col(spec.time_col), spec.zone)
-    return lag_features(df, spec, gap_free).select(
-        *spec.key,
-        *[column.alias(name) for name, column in calendar.items()],
-        *[trailing_mean(spec, k) for k in spec.mean_sizes],
-        *spec.lag_names,
-        spec.target_col,
-    )
+    lagged = lag_features(df, spec, gap_free)
+    columns = [*spec.key, *spec.feature_names, spec.target_col]
+    return features_from_lags(lagged, spec, spec.columns).select(*columns)

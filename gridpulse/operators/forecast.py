@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridpulse.functions.lagstate import advance, features_of_state, lag_array
+from gridpulse.functions.lagstate import advance, features_from_lags, features_of_state
 from gridpulse.functions.timegrid import shift
 from gridpulse.operators.blocks import attach_per_series
 from gridpulse.sources.tables import cut_lineage
-from gridpulse.spec import SeriesSpec
+from gridpulse.spec import SeriesSpec, lag_name
 
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -48,15 +48,19 @@ def next_step_state(rows: DataFrame, spec: SeriesSpec, keep: list[str]) -> DataF
     return rows.select(
         *keep,
         shift(F.col(spec.time_col), spec.every).alias(spec.time_col),
-        advance(lag_array(spec), F.col(spec.target_col), spec).alias("_lags"),
+        F.array(*spec.lag_names[1:], spec.target_col).alias("_lags"),
     )
 
 
 def next_step_features(rows: DataFrame, spec: SeriesSpec) -> DataFrame:
     """The feature row one step after each given feature row: lags shifted, target as ``lag_1``."""
-    return next_step_state(rows, spec, [spec.series_col]).select(
-        *spec.key, *features_of_state(F.col(spec.time_col), F.col("_lags"), spec)
+    shifted = rows.select(
+        spec.series_col,
+        shift(F.col(spec.time_col), spec.every).alias(spec.time_col),
+        *[F.col(lag_name(k - 1)).alias(lag_name(k)) for k in spec.lags if k > 1],
+        F.col(spec.target_col).alias(lag_name(1)),
     )
+    return features_from_lags(shifted, spec, spec.key)
 
 
 def forecast_next(rows: DataFrame, predictor: Predictor, spec: SeriesSpec) -> DataFrame:
@@ -85,9 +89,7 @@ def forecast_path(
     ts, lags = F.col(spec.time_col), F.col("_lags")
     current = state.withColumn("_path", F.expr("array()"))
     for step in range(1, horizon + 1):
-        features = current.select(
-            *ids, spec.time_col, "_lags", "_path", *features_of_state(ts, lags, spec)
-        )
+        features = features_of_state(current, spec, [*ids, spec.time_col, "_lags", "_path"])
         forecast = F.col("_forecast")
         entry = F.struct(
             F.lit(step).alias("step"), ts.alias("ts"), lags.alias("lags"), forecast.alias("forecast")
@@ -120,11 +122,9 @@ def multi_step_forecast(
 ) -> DataFrame:
     """Recursive forecast of the next ``horizon`` steps of every series (at least one)."""
     state = next_step_state(latest_per_series(frame, spec), spec, [spec.series_col])
-    return forecast_path(state, predictor, spec, max(1, horizon)).select(
-        *spec.key,
-        *features_of_state(F.col(spec.time_col), F.col("_lags"), spec),
-        "forecast",
-    )
+    path = forecast_path(state, predictor, spec, max(1, horizon))
+    columns = [*spec.key, *spec.feature_names, "forecast"]
+    return features_of_state(path, spec, [*spec.key, "forecast"]).select(*columns)
 
 
 def persistence_forecast(train: DataFrame, test: DataFrame, spec: SeriesSpec) -> DataFrame:
