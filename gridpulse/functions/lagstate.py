@@ -5,23 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.calendar import calendar_features
+from gridpulse.functions.calendar import aliased, calendar_features
 from gridpulse.spec import SeriesSpec, lag_name, mean_name
 
 
-def trailing_mean(spec: SeriesSpec, k: int) -> Column:
-    """Mean of the columns ``lag_1 .. lag_k``."""
+def trailing_mean(k: int) -> str:
+    """SQL for the mean of the columns ``lag_1 .. lag_k``."""
     total = " + ".join(lag_name(i) for i in range(1, k + 1))
-    return F.expr(f"({total}) / {k}").alias(mean_name(k))
+    return f"({total}) / {k} AS {mean_name(k)}"
 
 
 def features_from_lags(df: DataFrame, spec: SeriesSpec, keep: list[str]) -> DataFrame:
     """``keep``, then the full feature list in order, from the time and lag columns of ``df``."""
-    calendar = calendar_features(F.col(spec.time_col), spec.zone)
-    return df.select(
-        *keep,
-        *[column.alias(name) for name, column in calendar.items()],
-        *[trailing_mean(spec, k) for k in spec.mean_sizes],
+    return df.selectExpr(
+        *[f"`{name}`" for name in keep],
+        *aliased(calendar_features(spec.time_col, spec.zone)),
+        *[trailing_mean(k) for k in spec.mean_sizes],
         *spec.lag_names,
     )
 
@@ -36,7 +35,7 @@ def features_of_state(
 ) -> DataFrame:
     """``keep`` and the feature list of rows whose lags are the array column ``lags``."""
     spread = df.selectExpr(
-        *dict.fromkeys([*keep, spec.time_col]),
+        *[f"`{name}`" for name in dict.fromkeys([*keep, spec.time_col])],
         *[f"element_at({lags}, {-k}) AS {lag_name(k)}" for k in spec.lags],
     )
     return features_from_lags(spread, spec, keep)

@@ -128,18 +128,20 @@ def mutual_information(
     ranges = values.agg(
         F.array(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")) for c in columns])
     ).scalar()
-    ranged = values.withColumn("_ranges", ranges)
-
-    def bin_of(i: int) -> Column:
-        lo, hi = f"_ranges[{i}].lo", f"_ranges[{i}].hi"
-        position = f"floor((`{columns[i]}` - {lo}) / nullif({hi} - {lo}, 0D) * {bins})"
-        return F.expr(f"cast(least({bins - 1}, coalesce({position}, 0)) as int)")
-
-    binned = ranged.select(
-        bin_of(len(features)).alias("bin_y"),
-        F.posexplode(F.array(*[bin_of(i) for i in range(len(features))])).alias(
-            "position", "bin_x"
-        ),
+
+    def bin_of(value: str, position: Column) -> Column:
+        span = F.get(ranges, position)
+        lo, hi = span["lo"], span["hi"]
+        place = F.floor((F.col(value) - lo) / F.nullif(hi - lo, F.lit(0.0)) * bins)
+        return F.least(F.lit(bins - 1), F.coalesce(place, F.lit(0))).cast("int")
+
+    # The bin is computed after the unpivot: one short expression instead of one per feature.
+    binned = values.select(
+        F.col(target).alias("_y"), F.posexplode(F.array(*features)).alias("position", "_x")
+    ).select(
+        "position",
+        bin_of("_x", F.col("position")).alias("bin_x"),
+        bin_of("_y", F.lit(len(features))).alias("bin_y"),
     )
     cells = binned.groupBy("position", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n"))
     per_feature = Window.partitionBy("position")

@@ -7,12 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridpulse.functions.timegrid import shift
-from gridpulse.operators.forecast import (
-    Predictor,
-    forecast_path,
-    latest_per_series,
-    next_step_state,
-)
+from gridpulse.operators.features import latest_per_series
+from gridpulse.operators.forecast import Predictor, forecast_path, next_step_state
 from gridpulse.spec import SeriesSpec
 
 

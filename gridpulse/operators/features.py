@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from gridpulse.functions.calendar import daypart_flags, hour_encoding, local_hour
+from gridpulse.functions.calendar import aliased, daypart_flags, hour_encoding, local_hour
 from gridpulse.functions.lagstate import features_from_lags, trailing_mean
 from gridpulse.operators.blocks import BLOCK, HALO, with_preceding_rows
 from gridpulse.spec import SeriesSpec, lag_name
@@ -23,7 +24,7 @@ def lag_features(
     lagged = (
         with_preceding_rows(df.select(*spec.columns), spec, spec.max_lag, gap_free)
         .selectExpr(
-            *spec.columns,
+            *[f"`{name}`" for name in spec.columns],
             HALO,
             *[f"lag(`{spec.target_col}`, {k}) OVER ({over}) AS {lag_name(k)}" for k in spec.lags],
         )
@@ -36,17 +37,17 @@ def lag_features(
 
 def window_mean_features(df: DataFrame, spec: SeriesSpec, gap_free: bool = False) -> DataFrame:
     """Trailing means over the last ``step, 2*step, .. max_lag`` rows, the row itself excluded."""
-    return lag_features(df, spec, gap_free).select(
-        *spec.key, *[trailing_mean(spec, k) for k in spec.mean_sizes]
+    return lag_features(df, spec, gap_free).selectExpr(
+        *[f"`{name}`" for name in spec.key], *[trailing_mean(k) for k in spec.mean_sizes]
     )
 
 
 def with_hour_encoding(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    return df.withColumns(hour_encoding(local_hour(F.col(spec.time_col), spec.zone)))
+    return df.selectExpr("*", *aliased(hour_encoding(local_hour(spec.time_col, spec.zone))))
 
 
 def with_daypart_flags(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    return df.withColumns(daypart_flags(local_hour(F.col(spec.time_col), spec.zone)))
+    return df.selectExpr("*", *aliased(daypart_flags(local_hour(spec.time_col, spec.zone))))
 
 
 def feature_frame(df: DataFrame, spec: SeriesSpec, gap_free: bool = False) -> DataFrame:
@@ -54,3 +55,23 @@ def feature_frame(df: DataFrame, spec: SeriesSpec, gap_free: bool = False) -> Da
     lagged = lag_features(df, spec, gap_free)
     columns = [*spec.key, *spec.feature_names, spec.target_col]
     return features_from_lags(lagged, spec, spec.columns).select(*columns)
+
+
+def recent_feature_rows(df: DataFrame, spec: SeriesSpec, n: int = 1) -> DataFrame:
+    """The last ``n`` feature rows of every series, from its last ``n + max_lag`` rows.
+
+    The panel must be gap-free and without nulls, as a checked processed table is. Rows that cannot
+    matter are ranked away before the first shuffle.
+    """
+    tail = latest_per_series(df.select(*spec.columns), spec, n + spec.max_lag)
+    return feature_frame(tail, spec, gap_free=True)
+
+
+def latest_per_series(df: DataFrame, spec: SeriesSpec, n: int = 1) -> DataFrame:
+    """The last ``n`` rows of every series; ranked before the shuffle, so a long series is cheap."""
+    newest_first = Window.partitionBy(spec.series_col).orderBy(F.col(spec.time_col).desc())
+    return (
+        df.withColumn("_rank", F.row_number().over(newest_first))
+        .where(F.col("_rank") <= n)
+        .drop("_rank")
+    )

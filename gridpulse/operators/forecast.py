@@ -10,11 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gridpulse.functions.lagstate import advance, features_from_lags, features_of_state
 from gridpulse.functions.timegrid import shift
 from gridpulse.operators.blocks import attach_per_series
+from gridpulse.operators.features import latest_per_series
 from gridpulse.sources.tables import cut_lineage
 from gridpulse.spec import SeriesSpec, lag_name
 
@@ -33,16 +33,6 @@ def clean_forecast(yhat: Column) -> Column:
     return F.when(yhat.isNotNull(), F.greatest(F.lit(0.0), F.round(yhat, 4)))
 
 
-def latest_per_series(df: DataFrame, spec: SeriesSpec, n: int = 1) -> DataFrame:
-    """The last ``n`` rows of every series; ranked before the shuffle, so a long series is cheap."""
-    newest_first = Window.partitionBy(spec.series_col).orderBy(F.col(spec.time_col).desc())
-    return (
-        df.withColumn("_rank", F.row_number().over(newest_first))
-        .where(F.col("_rank") <= n)
-        .drop("_rank")
-    )
-
-
 def next_step_state(rows: DataFrame, spec: SeriesSpec, keep: list[str]) -> DataFrame:
     """Key of the following step and its lags as one array ``_lags``; one row per input row."""
     return rows.select(

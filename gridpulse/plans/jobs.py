@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.operators.backfill import backfilled_rows, missing_forecasts
 from gridpulse.operators.evaluate import backtest_gate, backtest_report
-from gridpulse.operators.features import feature_frame
+from gridpulse.operators.features import feature_frame, latest_per_series
 from gridpulse.operators.forecast import Predictor, one_step_forecast
 from gridpulse.operators.modeling import get_or_build_model, load_model, train_and_record
 from gridpulse.operators.prepare import preprocess
@@ -91,18 +91,21 @@ def inference_job(
 ) -> None:
     """Forecast one step after the last stored row of every series.
 
-    Without a ``predictor`` the stored model is used, or trained first if there is none.
+    Without a ``predictor`` the stored model is used, or trained first if there is none. A processed
+    table holds no nulls, so the last ``max_lag + 1`` rows of a series are all that is needed.
     """
-    frame = recent_features(spark, tables, spec)
     if predictor is None:
         predictor = get_or_build_model(
-            frame,
+            recent_features(spark, tables, spec),
             spec,
             tables.model,
             lineage_path=tables.lineage,
             data_location=tables.processed,
             **training,
         ).transform
+    recent = trailing_window(read_processed(spark, tables, spec), spec)
+    last_rows = latest_per_series(recent, spec, spec.max_lag + 1)
+    frame = feature_frame(last_rows, spec)
     new = one_step_forecast(frame, predictor, spec).select(*spec.key, "forecast")
     append_forecasts(spark, new, tables, spec)
 

@@ -65,6 +65,10 @@ def group_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.feature_frame(dense_groups(spark, sf_dir), PANEL, gap_free=True)
 
 
+def recent_frame(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    return features.recent_feature_rows(dense_groups(spark, sf_dir), PANEL, n)
+
+
 def type_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.feature_frame(dense_types(spark, sf_dir), PANEL, gap_free=True)
 
@@ -185,25 +189,24 @@ def fold_membership_one_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def latest_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.latest_per_series(panels.hourly_group_series(spark, sf_dir), PANEL)
+    return features.latest_per_series(panels.hourly_group_series(spark, sf_dir), PANEL)
 
 
 @registered
 def next_step_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = forecast.latest_per_series(group_frame(spark, sf_dir), PANEL)
-    return rounded_means(forecast.next_step_features(latest, PANEL))
+    return rounded_means(forecast.next_step_features(recent_frame(spark, sf_dir, 1), PANEL))
 
 
 @registered
 def one_step_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_means(
-        forecast.one_step_forecast(group_frame(spark, sf_dir), predictor, PANEL)
+        forecast.one_step_forecast(recent_frame(spark, sf_dir, 1), predictor, PANEL)
     )
 
 
 @registered
 def multi_step_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = group_frame(spark, sf_dir)
+    frame = recent_frame(spark, sf_dir, 1)
     return forecast.multi_step_forecast(frame, predictor, PANEL, HORIZON).select(
         *PANEL.key, "forecast"
     )
@@ -227,7 +230,8 @@ def evaluation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def backtest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.backtest_report(group_frame(spark, sf_dir), predictor, PANEL, HORIZON)
+    frame = recent_frame(spark, sf_dir, HORIZON + 1)
+    return evaluate.backtest_report(frame, predictor, PANEL, HORIZON)
 
 
 @registered

@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from conftest import as_dict, hours, panel
 
-from gridpulse.functions.calendar import calendar_features
+from gridpulse.functions.calendar import aliased, calendar_features
 from gridpulse.operators import features, forecast
 from gridpulse.operators.prepare import densify
 from gridpulse.sources.panels import PANEL
@@ -99,7 +99,7 @@ def test_calendar(spark):
     df = spark.range(24).select(
         F.expr("timestampadd(HOUR, cast(id as int) + 5, timestamp_ntz'2025-07-01')").alias("ts"), "id"
     )
-    for row in df.withColumns(calendar_features(F.col("ts"), "EST")).collect():
+    for row in df.selectExpr("*", *aliased(calendar_features("ts", "EST"))).collect():
         hour = row["id"]
         assert (row["sine_hour"], row["cosine_hour"]) == HOUR_TABLE[hour]
         flags = [row[c] for c in ("is_morning", "is_afternoon", "is_evening", "is_night")]
@@ -110,7 +110,7 @@ def test_calendar(spark):
 def test_unknown_hour_is_night(spark):
     row = (
         spark.sql("select cast(null as timestamp_ntz) as ts")
-        .withColumns(calendar_features(F.col("ts"), "EST"))
+        .selectExpr(*aliased(calendar_features("ts", "EST")))
         .first()
     )
     assert row["is_night"] and not (row["is_morning"] or row["is_afternoon"] or row["is_evening"])
@@ -133,6 +133,16 @@ def test_next_step_features_equal_the_next_feature_row(spark):
             assert row[name] == pytest.approx(row["f"][name], abs=1e-9), name
 
 
+@pytest.mark.parametrize("n", [1, 5])
+def test_recent_feature_rows(spark, n):
+    rows = [(f"s{s}", h, (h * 31 + s * 17) % 89) for s in range(2) for h in range(40 + s)]
+    spec = replace(SMALL, block_rows=7)
+    whole = features.feature_frame(panel(spark, rows), spec)
+    recent = features.recent_feature_rows(panel(spark, rows), spec, n)
+    assert recent.count() == 2 * n
+    assert recent.exceptAll(features.latest_per_series(whole, spec, n)).isEmpty()
+
+
 def test_features_need_one_shuffle(spark, tmp_path):
     path = str(tmp_path / "dense")
     panel(spark, [("a", h, h) for h in range(50)]).write.parquet(path)

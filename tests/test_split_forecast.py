@@ -105,7 +105,7 @@ def test_forecast_is_floored_and_null_stays_null(spark):
 def test_latest_rank_is_pushed_before_the_shuffle(spark, tmp_path):
     path = str(tmp_path / "rows")
     panel(spark, [("a", h, h) for h in range(9)]).write.parquet(path)
-    latest = forecast.latest_per_series(spark.read.parquet(path), PANEL)
+    latest = features.latest_per_series(spark.read.parquet(path), PANEL)
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert latest.first()["y"] == 8.0
