@@ -61,8 +61,9 @@ def with_preceding_rows(
     """Give every block its own rows and the ``n`` rows of the series just before them.
 
     Adds ``_block`` and ``_halo``; copied rows have ``_halo`` set. The result is partitioned by
-    ``(series, block)``, so row frames that reach back at most ``n`` rows are exact on
-    :func:`block_window`, once ``_halo`` rows are dropped. Keys ``(series, time)`` must be unique.
+    ``(series, block)``, so row frames that reach back at most ``n`` rows are exact over
+    ``PARTITION BY series, _block ORDER BY time``, once ``_halo`` rows are dropped. Keys
+    ``(series, time)`` must be unique.
 
     With ``gap_free`` the caller states that no series has a hole or an off-grid row, as after
     ``densify``. Then the preceding rows are exactly the last ``n`` slots of the block before, and
@@ -105,10 +106,6 @@ def with_preceding_rows(
     return blocked.withColumn(HALO, F.lit(False)).unionByName(carried).repartition(*key)
 
 
-def block_window(spec: SeriesSpec) -> Window:
-    return Window.partitionBy(spec.series_col, BLOCK).orderBy(spec.time_col)
-
-
 def global_row_index(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Number the rows of a table of distinct timestamps from 0, adding ``_index`` and ``_total``.
 

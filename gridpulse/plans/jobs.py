@@ -13,7 +13,7 @@ from gridpulse.operators.backfill import backfilled_rows, missing_forecasts
 from gridpulse.operators.evaluate import backtest_gate, backtest_report
 from gridpulse.operators.features import feature_frame, latest_per_series
 from gridpulse.operators.forecast import Predictor, one_step_forecast
-from gridpulse.operators.modeling import get_or_build_model, load_model, train_and_record
+from gridpulse.operators.modeling import get_or_build_model, train_and_record
 from gridpulse.operators.prepare import preprocess
 from gridpulse.operators.quality import assert_quality
 from gridpulse.operators.split import trailing_window
@@ -46,6 +46,21 @@ def recent_features(spark: SparkSession, tables: Tables, spec: SeriesSpec) -> Da
     return feature_frame(trailing_window(read_processed(spark, tables, spec), spec), spec)
 
 
+def stored_model(
+    spark: SparkSession, tables: Tables, spec: SeriesSpec, **training: Any
+) -> Predictor:
+    """The stored model, trained on the trailing look-back first if there is none."""
+    model = get_or_build_model(
+        recent_features(spark, tables, spec),
+        spec,
+        tables.model,
+        lineage_path=tables.lineage,
+        data_location=tables.processed,
+        **training,
+    )
+    return model.transform
+
+
 def feature_job(
     spark: SparkSession,
     tables: Tables,
@@ -94,15 +109,7 @@ def inference_job(
     Without a ``predictor`` the stored model is used, or trained first if there is none. A processed
     table holds no nulls, so the last ``max_lag + 1`` rows of a series are all that is needed.
     """
-    if predictor is None:
-        predictor = get_or_build_model(
-            recent_features(spark, tables, spec),
-            spec,
-            tables.model,
-            lineage_path=tables.lineage,
-            data_location=tables.processed,
-            **training,
-        ).transform
+    predictor = predictor or stored_model(spark, tables, spec, **training)
     recent = trailing_window(read_processed(spark, tables, spec), spec)
     last_rows = latest_per_series(recent, spec, spec.max_lag + 1)
     frame = feature_frame(last_rows, spec)
@@ -125,10 +132,7 @@ def monitor_job(
     """
     frame = recent_features(spark, tables, spec).persist()
     try:
-        if predictor is None:
-            if not table_exists(spark, tables.model):
-                raise FileNotFoundError(tables.model)
-            predictor = load_model(tables.model).transform
+        predictor = predictor or stored_model(spark, tables, spec, **training)
         report = backtest_report(frame, predictor, spec, horizons)
         passed = backtest_gate(report, threshold).first()["passed"]
         if not passed:
@@ -146,6 +150,7 @@ def backfill_job(
     spec: SeriesSpec,
     predictor: Predictor | None = None,
     lookback: timedelta | None = None,
+    **training: Any,
 ) -> bool:
     """Add forecasts that should have been made. Returns False, and writes nothing, if none is missing."""
     processed = read_processed(spark, tables, spec)
@@ -155,7 +160,7 @@ def backfill_job(
     try:
         if missing.isEmpty():
             return False
-        predictor = predictor or load_model(tables.model).transform
+        predictor = predictor or stored_model(spark, tables, spec, **training)
         rows = backfilled_rows(processed, missing, predictor, spec)
         append_series(rows.where(F.col("forecast").isNotNull()), tables.forecasts, spec)
         return True

@@ -81,8 +81,6 @@ def test_monitor_trains_saves_and_records(spark, tables):
     write_raw(spark, tables, 200)
     jobs.feature_job(spark, tables, SMALL, T0 + 72 * HOUR)
     training = {"candidates": tiny_candidates(), "k": 2, "n_trials": 1}
-    with pytest.raises(FileNotFoundError):
-        jobs.monitor_job(spark, tables, SMALL)
     jobs.inference_job(
         spark, tables, SMALL, now=datetime(2025, 1, 4, tzinfo=timezone.utc), **training
     )
