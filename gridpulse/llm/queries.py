@@ -6,11 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridpulse.llm import langid
 from gridpulse.llm.bpe import round_trip
-from gridpulse.llm.common import table
+from gridpulse.llm.common import crc_mod, pick, table
+from gridpulse.llm.quality import quality_scores
+from gridpulse.llm.sharding import interleave
 from gridpulse.llm.tokencount import token_counts
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 3) == 1
+    model = langid.fit(pick(docs.where(~held_out), id="doc_id", lang="lang", text="text"))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     want = ("n_tokens", "ids_sha256", "decoded_sha256")
     return round_trip(table(spark, sf_dir, "documents"), want=want)
@@ -20,11 +31,22 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interleave(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_language_id,
         op5_bpe_round_trip,
         op8_token_counts,
+        op9_quality_classifier,
+        op10_stratified_shards,
     )
 }
 
