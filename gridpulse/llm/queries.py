@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridpulse.llm import langid
+from gridpulse.llm import langid, warc
 from gridpulse.llm.bpe import round_trip
 from gridpulse.llm.common import crc_mod, pick, table
+from gridpulse.llm.packing import pack
 from gridpulse.llm.quality import quality_scores
 from gridpulse.llm.sharding import interleave
 from gridpulse.llm.tokencount import token_counts
@@ -27,6 +28,15 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), want=want)
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "problem")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -44,6 +54,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_language_id,
         op5_bpe_round_trip,
+        op6_best_fit_packing,
+        op7_warc_round_trip,
         op8_token_counts,
         op9_quality_classifier,
         op10_stratified_shards,
