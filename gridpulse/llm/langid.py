@@ -17,12 +17,13 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import cut, hashed_share, pick
@@ -254,30 +255,49 @@ def fit(docs: DataFrame, docs_per_lang: int = 800, rounds: int = 3, vocabulary:
 _SCORERS: dict[str, Scorer] = {}
 
 
-def predict(df: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, lang_pred and score (posterior of the language, all being equally likely before)."""
+def predictor(spark: SparkSession, model):
+    """A function for tasks: texts to (languages, scores). A score is the language's posterior chance."""
     langs, pieces, p = model
+    shared = spark.sparkContext.broadcast((pieces, p))
+    name = f"{uuid.uuid4()}"
+
+    def run(texts: list[str]) -> tuple[list[str], np.ndarray]:
+        if not langs or not texts:
+            return ["und"] * len(texts), np.zeros(len(texts))
+        if name not in _SCORERS:
+            _SCORERS.clear()
+            _SCORERS[name] = Scorer(*shared.value)
+        rows = _SCORERS[name].score(texts)
+        logs, known = rows[:, :-1], rows[:, -1] > 0
+        posterior = 1 / np.exp(logs - logs.max(1, keepdims=True)).sum(1)
+        found = [langs[b] if k else "und" for b, k in zip(logs.argmax(1), known, strict=True)]
+        return found, np.where(known, posterior, 0.0)
+
+    return run
+
+
+def predict(df: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, lang_pred and score of every row; all languages are equally likely before."""
     rows = pick(df, id=id_col, text=text_col)
     kind = rows.schema["id"].dataType.simpleString()
-    shared = df.sparkSession.sparkContext.broadcast((pieces, p))
-    name = f"{id(shared)}-{p.sum()!r}"
+    find = predictor(df.sparkSession, model)
 
     def run(batches):
-        scorer = _SCORERS.get(name)
-        if scorer is None and langs:
-            _SCORERS.clear()
-            scorer = _SCORERS[name] = Scorer(*shared.value)
         for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column("text")]
-            found, scores = ["und"] * len(texts), np.zeros(len(texts))
-            if langs:
-                rows = scorer.score(texts)
-                logs, known = rows[:, :-1], rows[:, -1] > 0
-                best = logs.argmax(1)
-                posterior = 1 / np.exp(logs - logs.max(1, keepdims=True)).sum(1)
-                found = [langs[b] if k else "und" for b, k in zip(best, known, strict=True)]
-                scores = np.where(known, posterior, 0.0)
+            found, scores = find([t.as_py() or "" for t in batch.column("text")])
             columns = [batch.column("id"), pa.array(found, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[id_col, "lang_pred", "score"])
 
     return rows.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
+
+
+def keep_known(df: DataFrame, model, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``df`` in a learned language with a score of ``least`` or more, with all their columns."""
+    find = predictor(df.sparkSession, model)
+
+    def run(batches):
+        for batch in batches:
+            found, scores = find([t.as_py() or "" for t in batch.column(text_col)])
+            yield batch.filter(pa.array((np.array(found, object) != "und") & (scores >= least), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

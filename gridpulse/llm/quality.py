@@ -202,6 +202,33 @@ def score(stats: DataFrame, model: Model, id_col: str = "doc_id", threshold: flo
     return stats.mapInPandas(run, f"`{id_col}` {kind}, score double, predicted int")
 
 
+def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int) -> tuple[DataFrame, Model]:
+    """The statistics of every row, stored, and a model from the labelled ones outside the held-out fold."""
+    stats = cut(document_statistics(docs, id_col, text_col))
+    known = pick(labels, id=id_col, y=label_col).where(crc_mod("id", folds) != 0)
+    return stats, fit(stats, known.select("id", F.col("y").cast("double").alias("y")))
+
+
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    folds: int = 5,
+    threshold: float = 0.3,
+) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, with all their columns; no shuffle of texts."""
+    _, model = learn(docs, labels, id_col, text_col, label_col, folds)
+
+    def run(batches):
+        for batch in batches:
+            values = np.array([statistics(t.as_py() or "") for t in batch.column(text_col)]).reshape(-1, NAMES)
+            yield batch.filter(pa.array(model.score(values) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -211,8 +238,6 @@ def quality_scores(
     folds: int = 5,
 ) -> DataFrame:
     """``id_col``, held_out, score and predicted of every row; held-out ids never train."""
-    stats = cut(document_statistics(docs, id_col, text_col))
-    known = pick(labels, id=id_col, y=label_col).where(crc_mod("id", folds) != 0)
-    model = fit(stats, known.select("id", F.col("y").cast("double").alias("y")))
+    stats, model = learn(docs, labels, id_col, text_col, label_col, folds)
     out = score(stats, model, id_col)
     return out.select(id_col, (crc_mod(id_col, folds) == 0).alias("held_out"), "score", "predicted")

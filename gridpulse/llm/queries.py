@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridpulse.llm import langid, warc
 from gridpulse.llm.bpe import round_trip
 from gridpulse.llm.common import crc_mod, pick, table
+from gridpulse.llm.minhash import near_duplicates
 from gridpulse.llm.packing import pack
 from gridpulse.llm.quality import quality_scores
 from gridpulse.llm.sharding import interleave
@@ -23,6 +24,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     want = ("n_tokens", "ids_sha256", "decoded_sha256")
     return round_trip(table(spark, sf_dir, "documents"), want=want)
@@ -53,6 +58,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_language_id,
+        op4_minhash_dedup,
         op5_bpe_round_trip,
         op6_best_fit_packing,
         op7_warc_round_trip,
