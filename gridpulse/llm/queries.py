@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridpulse.llm import langid, warc
+from gridpulse.llm import flat_graph, langid, learned_partitions, warc
 from gridpulse.llm.bpe import round_trip
 from gridpulse.llm.common import crc_mod, pick, table
 from gridpulse.llm.minhash import near_duplicates
@@ -16,6 +17,10 @@ from gridpulse.llm.sharding import interleave
 from gridpulse.llm.tokencount import token_counts
 
 
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod("doc_id", 3) == 1
@@ -24,6 +29,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_flat_graph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
@@ -57,7 +66,9 @@ def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_learned_partitions,
         op2_language_id,
+        op3_flat_graph_dedup,
         op4_minhash_dedup,
         op5_bpe_round_trip,
         op6_best_fit_packing,
