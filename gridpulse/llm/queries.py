@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import flat_graph, langid, learned_partitions, warc
+from gridpulse.llm import flat_graph, langid, learned_partitions, oracle, warc
 from gridpulse.llm.bpe import round_trip
 from gridpulse.llm.common import crc_mod, pick, table
 from gridpulse.llm.minhash import near_duplicates
@@ -34,7 +34,7 @@ def op3_flat_graph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), width=4)
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4).drop("text_key")
 
 
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(table(spark, sf_dir, "pages"))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "problem")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,4 +79,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_flat_graph_dedup": oracle.vector_duplicates(0.95),
+    "op4_minhash_dedup": oracle.near_duplicates(4, 80),
+    "op7_warc_round_trip": oracle.WARC,
+    "op10_stratified_shards": oracle.shards(8, 20),
+}

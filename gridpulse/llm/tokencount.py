@@ -89,11 +89,12 @@ def count_long(counter: LibraryCounter, text: str, chunk: int, overlap: int) ->
         wide, stop = overlap, min(n, end + chunk)
         while True:
             start = max(begin, end - wide)
-            right = counter.boundaries(text, start, stop)
             if start == begin:
-                # Nothing proven back to the chunk's beginning: one chunk takes both.
-                left = right
+                # Nothing proven back to the chunk's beginning: one chunk, of twice the size, takes both.
+                stop = min(n, begin + 2 * (end - begin) + chunk)
+                left = counter.boundaries(text, begin, stop)
                 break
+            right = counter.boundaries(text, start, stop)
             at = splice_point(text, left, right, start, end)
             if at is not None:
                 total += bisect_right(left, at)
