@@ -118,7 +118,7 @@ def mutual_information(
 ) -> DataFrame:
     """Mutual information (nats) between each feature and the target, both cut into equal-width bins.
 
-    One pass finds the ranges, one counts ``(feature, bin, bin)`` cells. The number of cells is
+    Pairs with a null are left out. One pass finds the ranges, one counts ``(feature, bin, bin)`` cells. The number of cells is
     bounded by ``features * bins^2``, and cells are counted before the shuffle. Sums are rounded to ten
     places, so that equal features tie whatever the order of addition. Adds ``score``, scaled
     to [0, 1] over the features, and ``position``, the place of the feature in ``features``.
@@ -138,7 +138,7 @@ def mutual_information(
     # The bin is computed after the unpivot: one short expression instead of one per feature.
     binned = values.select(
         F.col(target).alias("_y"), F.posexplode(F.array(*features)).alias("position", "_x")
-    ).select(
+    ).where("_x IS NOT NULL AND _y IS NOT NULL").select(
         "position",
         bin_of("_x", F.col("position")).alias("bin_x"),
         bin_of("_y", F.lit(len(features))).alias("bin_y"),

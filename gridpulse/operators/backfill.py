@@ -53,13 +53,14 @@ def backfilled_rows(
 ) -> DataFrame:
     """One-step forecasts for all missing keys at once.
 
-    A missing step is forecast from the feature row one step earlier. Only stored rows that can feed
-    such a feature row are read. A step without enough history stays missing.
+    A missing step is forecast from the feature row one step earlier, whose lags must lie in that
+    step's own look-back; so a key's forecast does not depend on which other keys are missing. Only
+    stored rows that can feed such a feature row are read. A step without enough history stays missing.
     """
     first_needed = missing.agg(shift(F.min(spec.time_col), -spec.every - spec.lookback)).scalar()
     frame = feature_frame(
-        processed.where(F.col(spec.time_col) >= first_needed), spec, gap_free
-    )
+        processed.where(F.col(spec.time_col) >= first_needed), spec, gap_free, oldest="_oldest"
+    ).where(F.col("_oldest") >= shift(F.col(spec.time_col), -spec.lookback)).drop("_oldest")
     origins = missing.select(
         spec.series_col, shift(F.col(spec.time_col), -spec.every).alias(spec.time_col)
     )

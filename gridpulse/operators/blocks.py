@@ -2,8 +2,9 @@
 
 A window over a whole series runs in one task per series. The helpers here cut a series into time
 blocks of ``spec.block_rows`` grid slots, so the unit of work is ``(series, block)``, and bring in
-from outside a block only what it needs: a per-series value, or the rows just before it. What is
-gathered per series is one row per block, never one row per observation.
+from outside a block only what it needs: a per-series value, or the rows just before it. A block bounds
+grid slots, so it bounds rows once keys are unique. What is gathered per series is one row per block,
+and up to ``n`` rows per block where preceding rows are carried over holes.
 """
 
 from __future__ import annotations
@@ -26,33 +27,26 @@ def with_block(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 def attach_per_series(
     rows: DataFrame, per_series: DataFrame, spec: SeriesSpec, how: str = "inner"
 ) -> DataFrame:
-    """Join a one-row-per-series table to ``rows``.
+    """Join a one-row-per-series table to ``rows``, which are read once.
 
-    The join key is ``(series, block)``: the per-series values are first spread over the blocks that
-    occur, which is a join of two small tables, so a series with a third of all rows still lands in
-    many partitions. No broadcast is forced; adaptive execution picks it from the measured size.
+    No broadcast is forced: Spark takes it if the measured size of the table allows. Otherwise the rows
+    of a hot series are split by adaptive execution's skew join, however many fall into one block.
     """
-    blocked = with_block(rows, spec)
-    key = [spec.series_col, BLOCK]
-    lookup = blocked.select(*key).distinct().join(per_series, spec.series_col, how)
-    return blocked.join(lookup, key).drop(BLOCK)
+    return rows.join(per_series, spec.series_col, how)
 
 
 def attach_series_aggregates(
     rows: DataFrame, spec: SeriesSpec, **aggregates: tuple[str, str]
 ) -> DataFrame:
-    """Attach per-series ``min`` or ``max`` values, given as ``name=("max", column)``."""
+    """Attach per-series ``min`` or ``max`` values, given as ``name=("max", column)``.
+
+    The aggregate is combined before its shuffle, so a hot series sends one row from each task.
+    """
     functions = {"min": F.min, "max": F.max}
-    blocked = with_block(rows, spec)
-    key = [spec.series_col, BLOCK]
-    per_block = blocked.groupBy(*key).agg(
+    per_series = rows.groupBy(spec.series_col).agg(
         *[functions[fn](column).alias(name) for name, (fn, column) in aggregates.items()]
     )
-    per_series = per_block.groupBy(spec.series_col).agg(
-        *[functions[fn](name).alias(name) for name, (fn, _) in aggregates.items()]
-    )
-    lookup = per_block.select(*key).join(per_series, spec.series_col)
-    return blocked.join(lookup, key).drop(BLOCK)
+    return attach_per_series(rows, per_series, spec)
 
 
 def with_preceding_rows(

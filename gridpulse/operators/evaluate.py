@@ -12,14 +12,22 @@ from gridpulse.operators.forecast import Predictor, forecast_path, next_step_sta
 from gridpulse.spec import SeriesSpec
 
 
+def answered(y: str, yhat: str) -> Column:
+    """Whether every known label has a forecast; a score over some of them would flatter the model."""
+    return F.count_if(F.col(y).isNotNull() & F.col(yhat).isNull()) == 0
+
+
 def r2_of(y: str, yhat: str) -> Column:
-    """``1 - SSE / SST`` to four places; null when the label does not vary."""
+    """``1 - SSE / SST`` to four places; null when the label does not vary or a forecast is missing."""
     sse = F.sum(F.pow(F.col(y) - F.col(yhat), F.lit(2)))
-    return F.round(1 - sse / F.nullif(F.regr_syy(y, F.col(y)), F.lit(0.0)), 4)
+    score = F.round(1 - sse / F.nullif(F.regr_syy(y, F.col(y)), F.lit(0.0)), 4)
+    return F.when(answered(y, yhat), score)
 
 
 def rmse_of(y: str, yhat: str) -> Column:
-    return F.round(F.sqrt(F.avg(F.pow(F.col(y) - F.col(yhat), F.lit(2)))), 4)
+    """Root of the mean squared error to four places; null when a forecast is missing."""
+    score = F.round(F.sqrt(F.avg(F.pow(F.col(y) - F.col(yhat), F.lit(2)))), 4)
+    return F.when(answered(y, yhat), score)
 
 
 def evaluation_metrics(

@@ -13,13 +13,18 @@ from gridpulse.spec import SeriesSpec, lag_name
 
 
 def lag_features(
-    df: DataFrame, spec: SeriesSpec, gap_free: bool = False, complete: bool = True
+    df: DataFrame,
+    spec: SeriesSpec,
+    gap_free: bool = False,
+    complete: bool = True,
+    oldest: str | None = None,
 ) -> DataFrame:
     """``lag_n .. lag_1`` of the target, by row within the series.
 
-    With ``complete`` a row is kept only if none of its lags is null. See ``with_preceding_rows`` for
-    ``gap_free``.
+    With ``complete`` a row is kept only if none of its lags is null or NaN. ``oldest`` names a column
+    for the time of ``lag_n``. See ``with_preceding_rows`` for ``gap_free``.
     """
+    dated = [f"lag(`{spec.time_col}`, {spec.max_lag}) OVER ({{over}}) AS `{oldest}`"] if oldest else []
     over = f"PARTITION BY `{spec.series_col}`, {BLOCK} ORDER BY `{spec.time_col}`"
     lagged = (
         with_preceding_rows(df.select(*spec.columns), spec, spec.max_lag, gap_free)
@@ -27,12 +32,13 @@ def lag_features(
             *[f"`{name}`" for name in spec.columns],
             HALO,
             *[f"lag(`{spec.target_col}`, {k}) OVER ({over}) AS {lag_name(k)}" for k in spec.lags],
+            *[column.format(over=over) for column in dated],
         )
         .where(~F.col(HALO))
     )
     if complete:
         lagged = lagged.dropna("any", subset=spec.lag_names)
-    return lagged.select(*spec.key, *spec.lag_names, spec.target_col)
+    return lagged.select(*spec.key, *spec.lag_names, spec.target_col, *([oldest] if oldest else []))
 
 
 def window_mean_features(df: DataFrame, spec: SeriesSpec, gap_free: bool = False) -> DataFrame:
@@ -50,21 +56,24 @@ def with_daypart_flags(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return df.selectExpr("*", *aliased(daypart_flags(local_hour(spec.time_col, spec.zone))))
 
 
-def feature_frame(df: DataFrame, spec: SeriesSpec, gap_free: bool = False) -> DataFrame:
+def feature_frame(
+    df: DataFrame, spec: SeriesSpec, gap_free: bool = False, oldest: str | None = None
+) -> DataFrame:
     """Key, features and label, in the model's column order; one shuffle, one sort."""
-    lagged = lag_features(df, spec, gap_free)
-    columns = [*spec.key, *spec.feature_names, spec.target_col]
-    return features_from_lags(lagged, spec, spec.columns).select(*columns)
+    lagged = lag_features(df, spec, gap_free, oldest=oldest)
+    extra = [oldest] if oldest else []
+    columns = [*spec.key, *spec.feature_names, spec.target_col, *extra]
+    return features_from_lags(lagged, spec, [*spec.columns, *extra]).select(*columns)
 
 
 def recent_feature_rows(df: DataFrame, spec: SeriesSpec, n: int = 1) -> DataFrame:
     """The last ``n`` feature rows of every series, from its last ``n + max_lag`` rows.
 
-    The panel must be gap-free and without nulls, as a checked processed table is. Rows that cannot
-    matter are ranked away before the first shuffle.
+    Exact on holes of any length; the panel must be without nulls, as a checked processed table is.
+    Rows that cannot matter are ranked away before the first shuffle.
     """
     tail = latest_per_series(df.select(*spec.columns), spec, n + spec.max_lag)
-    return feature_frame(tail, spec, gap_free=True)
+    return feature_frame(tail, spec)
 
 
 def latest_per_series(df: DataFrame, spec: SeriesSpec, n: int = 1) -> DataFrame:

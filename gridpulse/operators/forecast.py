@@ -123,3 +123,15 @@ def persistence_forecast(train: DataFrame, test: DataFrame, spec: SeriesSpec) ->
         F.max_by(spec.target_col, spec.time_col).alias("naive_forecast")
     )
     return attach_per_series(test.select(*spec.columns), last, spec)
+
+
+def persistence_of_flagged(flagged: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """The same for rows that ``holdout_flag`` marked: one table, not two halves of a plan."""
+    train = ~F.col("is_test")
+    last = flagged.groupBy(spec.series_col).agg(
+        F.max_by(F.when(train, F.col(spec.target_col)), F.when(train, F.col(spec.time_col))).alias("naive_forecast"),
+        F.bool_or(train).alias("_trained"),
+    )
+    # As with two halves, a series without a train row has no forecast and no row.
+    known = last.where("_trained").drop("_trained")
+    return attach_per_series(flagged.where("is_test").select(*spec.columns), known, spec)

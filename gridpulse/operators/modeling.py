@@ -9,12 +9,12 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gridpulse.functions.timegrid import ntz, shift
 from gridpulse.operators.evaluate import evaluation_metrics
@@ -36,9 +36,12 @@ class Candidate:
     space: dict[str, Callable[[random.Random], Any]] = field(default_factory=dict)
     early_stopping: bool = False
 
-    def build(self, spec: SeriesSpec, params: dict[str, Any] | None = None) -> Pipeline:
+    def build(
+        self, spec: SeriesSpec, params: dict[str, Any] | None = None, validated: bool = True
+    ) -> Pipeline:
+        """``validated``: the rows flag a validation part, on which early stopping may look."""
         settings = {**self.base, **(params or {})}
-        if self.early_stopping:
+        if self.early_stopping and validated:
             settings["validationIndicatorCol"] = VALIDATION
         regressor = self.estimator(
             featuresCol=VECTOR, labelCol=spec.target_col, predictionCol="yhat", **settings
@@ -47,6 +50,16 @@ class Candidate:
         return Pipeline(stages=[assembler, regressor])
 
 
+def require_checkpoint_dir(spark: SparkSession) -> None:
+    """Boosting cuts its lineage into ``spark.checkpoint.dir``; a cluster without it fails at once."""
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            spark.sparkContext.setCheckpointDir(configured)
+        elif not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+
+
 def default_candidates(seed: int = 0) -> list[Candidate]:
     """Gradient-boosted trees and a random forest, with the ranges searched by ``tune``."""
     return [
@@ -88,9 +101,9 @@ class Trained:
 
 
 def training_columns(frame: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Rows a regressor can be fitted on: a null label is left out."""
+    """Rows a regressor can be fitted on: a null or NaN label is left out."""
     return frame.select(*spec.key, *spec.feature_names, spec.target_col).where(
-        F.col(spec.target_col).isNotNull()
+        F.col(spec.target_col).isNotNull() & ~F.isnan(spec.target_col)
     )
 
 
@@ -131,9 +144,11 @@ def walk_forward(
 ) -> Trained:
     """Fit on each fold's train part, score on its validation part, average the RMSE.
 
-    The returned model is the last fold's, unless ``refit_all``. Folds are independent jobs on one
-    cached frame, submitted ``parallelism`` at a time.
+    The returned model is the last fold's; with ``refit_all`` it is fitted on all rows, with as many
+    trees as the last fold kept. Folds are independent jobs on one cached frame, submitted
+    ``parallelism`` at a time.
     """
+    require_checkpoint_dir(frame.sparkSession)
     data = training_columns(frame, spec)
     folds = folds or collect_folds(data, spec, k)
     pipeline = candidate.build(spec, params)
@@ -141,7 +156,9 @@ def walk_forward(
         fitted = list(pool.map(lambda bounds: _fit_fold(data, pipeline, spec, bounds), folds))
     model = fitted[-1][0]
     if refit_all:
-        model = pipeline.fit(data.withColumn(VALIDATION, F.col(spec.time_col) > ntz(folds[-1]["train_end"])))
+        kept = getattr(model.stages[-1], "getNumTrees", None)
+        trees = {"maxIter": kept} if candidate.early_stopping and kept else {}
+        model = candidate.build(spec, {**(params or {}), **trees}, validated=False).fit(data)
     scores = [score for _, score in fitted]
     rmse = sum(score["rmse"] for score in scores) / len(scores)
     return Trained(candidate, {**candidate.base, **(params or {})}, model, rmse, scores)
@@ -242,9 +259,8 @@ def model_lineage(
 
 
 def lineage_newest_first(lineage: DataFrame) -> DataFrame:
-    """Lineage rows with their ``position``, newest training first."""
-    newest_first = Window.partitionBy(F.lit(1)).orderBy(F.col("when_trained").desc(), "name")
-    return lineage.withColumn("position", F.row_number().over(newest_first)).orderBy("position")
+    """Lineage rows, newest training first."""
+    return lineage.orderBy(F.col("when_trained").desc(), "name")
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -267,8 +283,9 @@ def train_and_record(
     seed: int = 0,
     now: datetime | None = None,
 ) -> PipelineModel:
-    """Select, tune, save and record a model. The frame is cached while it is being read."""
-    frame = frame.persist()
+    """Select, tune, save and record a model. A frame that is not cached is, while it is being read."""
+    own = frame.storageLevel == StorageLevel.NONE
+    frame = frame.persist() if own else frame
     try:
         chosen, _ = select_model(frame, spec, candidates, k)
         tuned, _ = tune(
@@ -287,7 +304,8 @@ def train_and_record(
         save_model(tuned.model, model_path)
         append_plain(record, lineage_path)
     finally:
-        frame.unpersist()
+        if own:
+            frame.unpersist()
     return tuned.model
 
 

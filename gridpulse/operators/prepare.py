@@ -56,8 +56,8 @@ def align_and_clip(df: DataFrame, spec: SeriesSpec, as_of: datetime) -> DataFram
     """``align_series_start`` then ``clip_time_range``, without moving rows outside the window.
 
     The window is first turned back into raw time. Its widest bounds over all series are scalar
-    subqueries that reach the scan as filters, so history outside the look-back is not read; the
-    exact per-series test follows.
+    subqueries that reach the scan as filters; the exact per-series test follows. The first time of
+    each series, from which the shift comes, still takes a pass over the keys of the whole history.
     """
     ts = F.col(spec.time_col)
     shifts = df.groupBy(spec.series_col).agg(

@@ -18,12 +18,12 @@ def new_rows_above_watermark(
     batch: DataFrame,
     watermarks: DataFrame,
     spec: SeriesSpec,
-    new_series: str = "drop",
+    new_series: str = "admit",
 ) -> DataFrame:
     """Batch rows later than the last stored row of their own series.
 
-    Late rows are never admitted. A series without stored rows is left out, unless ``new_series`` is
-    ``"admit"``. ``watermarks`` is the result of :func:`high_watermarks`.
+    Late rows are never admitted. A series without stored rows is admitted, unless ``new_series`` is
+    ``"drop"``. ``watermarks`` is the result of :func:`high_watermarks`.
     """
     if new_series not in ("drop", "admit"):
         raise ValueError("new_series must be 'drop' or 'admit'")
@@ -37,7 +37,7 @@ def new_rows_above_watermark(
 
 
 def append_processed(
-    stored: DataFrame, batch: DataFrame, spec: SeriesSpec, new_series: str = "drop"
+    stored: DataFrame, batch: DataFrame, spec: SeriesSpec, new_series: str = "admit"
 ) -> DataFrame:
     """The stored table as it is after the batch was appended."""
     fresh = new_rows_above_watermark(batch, high_watermarks(stored, spec), spec, new_series)

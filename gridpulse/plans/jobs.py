@@ -9,12 +9,12 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.operators.backfill import backfilled_rows, missing_forecasts
+from gridpulse.operators.backfill import backfilled_rows, missing_forecasts, resolved_forecasts
 from gridpulse.operators.evaluate import backtest_gate, backtest_report
 from gridpulse.operators.features import feature_frame, latest_per_series
 from gridpulse.operators.forecast import Predictor, one_step_forecast
 from gridpulse.operators.modeling import get_or_build_model, train_and_record
-from gridpulse.operators.prepare import preprocess
+from gridpulse.operators.prepare import dedup_keep_first, preprocess
 from gridpulse.operators.quality import assert_quality
 from gridpulse.operators.split import trailing_window
 from gridpulse.operators.upsert import absent_rows, high_watermarks, new_rows_above_watermark
@@ -37,10 +37,16 @@ def read_processed(spark: SparkSession, tables: Tables, spec: SeriesSpec) -> Dat
     return read_table(spark, tables.processed, spec.series_schema, spec.time_col)
 
 
-def read_forecasts(spark: SparkSession, tables: Tables, spec: SeriesSpec) -> DataFrame:
+def stored_forecasts(spark: SparkSession, tables: Tables, spec: SeriesSpec) -> DataFrame:
+    """All stored rows; a null forecast may stand beside its later repair."""
     return read_table(spark, tables.forecasts, spec.forecast_schema, spec.time_col)
 
 
+def read_forecasts(spark: SparkSession, tables: Tables, spec: SeriesSpec) -> DataFrame:
+    """One forecast a key."""
+    return resolved_forecasts(stored_forecasts(spark, tables, spec), spec)
+
+
 def recent_features(spark: SparkSession, tables: Tables, spec: SeriesSpec) -> DataFrame:
     """Feature frame of the trailing look-back of the processed table."""
     return feature_frame(trailing_window(read_processed(spark, tables, spec), spec), spec)
@@ -66,11 +72,12 @@ def feature_job(
     tables: Tables,
     spec: SeriesSpec,
     as_of: datetime,
-    new_series: str = "drop",
+    new_series: str = "admit",
 ) -> None:
     """Preprocess the raw table as of ``as_of``, check it, and append what is new.
 
-    The first run, without a stored table, stores everything. A failed check raises before any write.
+    Without stored rows everything is stored, also if an empty table is there. A series that is not
+    stored yet is admitted, unless ``new_series`` is ``"drop"``. A failed check raises before any write.
     """
     raw = spark.read.schema(spec.series_schema).parquet(tables.raw)
     data = preprocess(raw, spec, as_of).persist()
@@ -80,7 +87,7 @@ def feature_job(
         assert_quality(data, spec, stored.schema if exists else None)
         fresh = (
             new_rows_above_watermark(data, high_watermarks(stored, spec), spec, new_series)
-            if exists
+            if exists and not stored.isEmpty()
             else data
         )
         append_series(fresh, tables.processed, spec)
@@ -91,10 +98,16 @@ def feature_job(
 def append_forecasts(
     spark: SparkSession, new: DataFrame, tables: Tables, spec: SeriesSpec
 ) -> None:
-    """Store forecasts whose key is not stored yet."""
-    if table_exists(spark, tables.forecasts):
-        new = absent_rows(new, read_forecasts(spark, tables, spec), spec)
-    append_series(new, tables.forecasts, spec)
+    """Store forecasts whose key is not stored yet, one a key."""
+    new = new.persist()
+    try:
+        if table_exists(spark, tables.forecasts):
+            fresh = absent_rows(new, stored_forecasts(spark, tables, spec), spec)
+        else:
+            fresh = dedup_keep_first(new, spec, order=["forecast"])
+        append_series(fresh, tables.forecasts, spec)
+    finally:
+        new.unpersist()
 
 
 def inference_job(
@@ -155,7 +168,7 @@ def backfill_job(
     """Add forecasts that should have been made. Returns False, and writes nothing, if none is missing."""
     processed = read_processed(spark, tables, spec)
     missing = missing_forecasts(
-        processed, read_forecasts(spark, tables, spec), spec, lookback
+        processed, stored_forecasts(spark, tables, spec), spec, lookback
     ).persist()
     try:
         if missing.isEmpty():

@@ -187,9 +187,11 @@ def _membership(rows: str, folds: str) -> str:
 
 
 def _scores(y: str, yhat: str) -> str:
+    unanswered = f"count(*) FILTER ({y} IS NOT NULL AND {yhat} IS NULL)"
     return f"""
-        round(1 - sum(({y} - {yhat}) ** 2) / nullif(regr_syy({y}, {y}), 0), 4) AS r2,
-        round(sqrt(avg(({y} - {yhat}) ** 2)), 4) AS rmse"""
+        CASE WHEN {unanswered} = 0
+            THEN round(1 - sum(({y} - {yhat}) ** 2) / nullif(regr_syy({y}, {y}), 0), 4) END AS r2,
+        CASE WHEN {unanswered} = 0 THEN round(sqrt(avg(({y} - {yhat}) ** 2)), 4) END AS rmse"""
 
 
 _BACKTEST = f"""
@@ -251,7 +253,7 @@ durbin AS (
 )"""
 
 
-def _mutual_information() -> str:
+def _mutual_information(label: str = "y") -> str:
     names = PANEL.feature_names
     listed = ", ".join(f"CAST({name} AS DOUBLE)" for name in names)
     labels = ", ".join(f"'{name}'" for name in names)
@@ -262,7 +264,7 @@ def _mutual_information() -> str:
 
     return f"""
     long AS (
-        SELECT unnest(range(0, {len(names)})) AS position, unnest([{listed}]) AS x, y FROM frame
+        SELECT unnest(range(0, {len(names)})) AS position, unnest([{listed}]) AS x, {label} AS y FROM frame
     ),
     binned AS (
         SELECT position, {binned("x", "lo", "hi")} AS bx, {binned("y", "y_lo", "y_hi")} AS by_
@@ -271,6 +273,7 @@ def _mutual_information() -> str:
                    min(y) OVER () AS y_lo, max(y) OVER () AS y_hi
             FROM long
         )
+        WHERE x IS NOT NULL AND y IS NOT NULL
     ),
     cells AS (SELECT position, bx, by_, count(*) AS n FROM binned GROUP BY ALL),
     joint AS (
@@ -340,6 +343,23 @@ def oracle_queries() -> dict[str, str]:
                    CAST((SELECT sum(g) FROM gaps) AS BIGINT) AS missing_slots
             FROM group_hourly""",
         ),
+        "quality_report_off_grid": """
+            WITH readings AS (SELECT event_type AS series, ts, value AS y FROM events),
+            copies AS (SELECT count(*) AS n FROM readings GROUP BY series, ts, y HAVING count(*) > 1),
+            keys AS (SELECT series, ts, count(*) AS n FROM readings GROUP BY series, ts),
+            grid AS (
+                SELECT series, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts
+                FROM readings GROUP BY series
+            )
+            SELECT CAST(count(*) AS BIGINT) AS rows,
+                   CAST(count(*) FILTER (series IS NULL) AS BIGINT) AS null_series,
+                   CAST(count(*) FILTER (ts IS NULL) AS BIGINT) AS null_times,
+                   CAST(count(*) FILTER (y IS NULL) AS BIGINT) AS null_targets,
+                   CAST(count(*) FILTER (isnan(y)) AS BIGINT) AS nan_targets,
+                   CAST((SELECT coalesce(sum(n), 0) FROM copies) AS BIGINT) AS duplicate_rows,
+                   CAST((SELECT coalesce(sum(n), 0) FROM keys WHERE n > 1) AS BIGINT) AS duplicate_keys,
+                   CAST((SELECT count(*) FROM grid ANTI JOIN keys USING (series, ts)) AS BIGINT) AS missing_slots
+            FROM readings""",
         "trailing_window": _with(
             "group_hourly groups",
             f"""SELECT series, ts, y FROM groups
@@ -381,7 +401,7 @@ def oracle_queries() -> dict[str, str]:
         "one_step_forecast": _with(FRAME + " latest states", _step_features(forecast=True)),
         "multi_step_forecast": _with(
             FRAME + " latest states",
-            "SELECT series, ts, f AS forecast FROM path",
+            _step_features(forecast=False, source="path", also=", f AS forecast", places=10),
             recursive=f"""path AS (
                 SELECT series, ts, l, 1 AS step, {_forecast("l")} AS f FROM states
                 UNION ALL
@@ -395,6 +415,14 @@ def oracle_queries() -> dict[str, str]:
         "evaluation_metrics": _with(
             DENSE + " flagged naive", f"SELECT {_scores('y', 'naive_forecast')} FROM naive"
         ),
+        "evaluation_metrics_unanswered": _with(
+            DENSE + " flagged naive",
+            f"""SELECT series, {_scores('y', 'f')} FROM (
+                SELECT series, y,
+                    CASE WHEN series LIKE 'c%' AND hour(ts) = 3 THEN NULL ELSE naive_forecast END AS f
+                FROM naive
+            ) GROUP BY series""",
+        ),
         "backtest_report": _with(FRAME, "SELECT * FROM report", recursive=_BACKTEST),
         "backtest_gate": _with(
             FRAME,
@@ -440,6 +468,27 @@ def oracle_queries() -> dict[str, str]:
                 SELECT series, ts + INTERVAL 1 HOUR AS ts, list_append({LAG_LIST}[2:], y) AS l FROM frame
             ) s ON s.series = m.series AND s.ts = m.ts""",
         ),
+        "backfill_forecasts_gappy": _with(
+            "group_hourly groups",
+            f""", forecasts AS (
+                SELECT series, ts, y AS forecast FROM groups WHERE hour(ts) NOT IN (5, 17)
+            ),
+            observed AS (SELECT *, max(ts) OVER (PARTITION BY series) AS latest FROM groups),
+            missing AS (
+                SELECT o.series, o.ts FROM observed o
+                JOIN (SELECT series, min(ts) AS a, max(ts) AS b FROM forecasts GROUP BY series) c USING (series)
+                WHERE o.ts >= o.latest - {LOOKBACK} AND o.ts BETWEEN c.a AND c.b
+                  AND NOT EXISTS (SELECT 1 FROM forecasts f WHERE f.series = o.series AND f.ts = o.ts)
+            )
+            SELECT series, ts, forecast FROM forecasts
+            UNION ALL
+            SELECT series, ts, {_forecast("l")} FROM (
+                SELECT m.series, m.ts, list(g.y ORDER BY g.ts) AS l, max(g.ts) AS last
+                FROM missing m JOIN groups g
+                    ON g.series = m.series AND g.ts BETWEEN m.ts - INTERVAL 1 HOUR - {LOOKBACK} AND m.ts - INTERVAL 1 HOUR
+                GROUP BY m.series, m.ts
+            ) WHERE last = ts - INTERVAL 1 HOUR AND len(l) > {PANEL.max_lag}""",
+        ),
         "autocorrelation": _with_extra(
             DENSE,
             _ACF,
@@ -462,6 +511,11 @@ def oracle_queries() -> dict[str, str]:
             _mutual_information(),
             "SELECT position, feature, round(mi, 8) AS mi, round(score, 8) AS score FROM scores",
         ),
+        "mutual_information_null_labels": _with_extra(
+            FRAME,
+            _mutual_information("CASE WHEN hour(ts) <> 3 THEN y END"),
+            "SELECT position, feature, round(mi, 8) AS mi, round(score, 8) AS score FROM scores",
+        ),
         "selected_features": _with_extra(
             FRAME,
             _mutual_information(),
@@ -486,19 +540,18 @@ def oracle_queries() -> dict[str, str]:
             DENSE + " flagged naive",
             f""", scored AS (SELECT series, {_scores('y', 'naive_forecast')} FROM naive GROUP BY series),
             dated AS (SELECT series, max(ts) AS when_trained FROM groups GROUP BY series)
-            SELECT series AS name, when_trained, rmse,
-                   CAST(row_number() OVER (ORDER BY when_trained DESC, series) AS INTEGER) AS position
-            FROM dated JOIN scored USING (series)""",
+            SELECT series AS name, when_trained, rmse
+            FROM dated JOIN scored USING (series) ORDER BY when_trained DESC, series""",
         ),
     }
     return {name: " ".join(text.split()) for name, text in sql.items()}
 
 
-def _step_features(forecast: bool) -> str:
+def _step_features(forecast: bool, source: str = "states", also: str = "", places: int = 8) -> str:
     means = ", ".join(
-        "round((" + " + ".join(f"l[-{i}]" for i in range(1, k + 1)) + f") / {k}, 8) AS avg_{k}_lags"
+        "round((" + " + ".join(f"l[-{i}]" for i in range(1, k + 1)) + f") / {k}, {places}) AS avg_{k}_lags"
         for k in PANEL.mean_sizes
     )
     lags = ", ".join(f"l[-{k}] AS lag_{k}" for k in PANEL.lags)
-    extra = f", {_forecast('l')} AS forecast" if forecast else ""
-    return f"SELECT series, ts, {_calendar()}, {means}, {lags}{extra} FROM states"
+    extra = f", {_forecast('l')} AS forecast" if forecast else also
+    return f"SELECT series, ts, {_calendar()}, {means}, {lags}{extra} FROM {source}"

@@ -48,9 +48,9 @@ def predictor(df: DataFrame) -> DataFrame:
     return df.withColumn("yhat", F.expr("0.6180339887D * lag_1 + 0.3819660113D * avg_4_lags"))
 
 
-def rounded_means(df: DataFrame, spec: SeriesSpec = PANEL) -> DataFrame:
-    """Means to eight places: engines add floating-point numbers in different orders."""
-    return df.withColumns({name: F.round(name, 8) for name in spec.mean_names})
+def rounded_means(df: DataFrame, spec: SeriesSpec = PANEL, places: int = 8) -> DataFrame:
+    """Means to some places: engines add floating-point numbers in different orders."""
+    return df.withColumns({name: F.round(name, places) for name in spec.mean_names})
 
 
 def dense_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +116,12 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(panels.hourly_group_readings(spark, sf_dir), PANEL)
 
 
+@registered
+def quality_report_off_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings at any second: only those a whole number of hours after a series' first fill a slot."""
+    return quality.quality_report(panels.event_readings(spark, sf_dir), PANEL)
+
+
 @registered
 def trailing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.trailing_window(panels.hourly_group_series(spark, sf_dir), PANEL)
@@ -207,15 +213,14 @@ def one_step_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def multi_step_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = recent_frame(spark, sf_dir, 1)
-    return forecast.multi_step_forecast(frame, predictor, PANEL, HORIZON).select(
-        *PANEL.key, "forecast"
-    )
+    # Forecasts have four decimals, so a mean of 32 has nine: rounding later meets no tie.
+    return rounded_means(forecast.multi_step_forecast(frame, predictor, PANEL, HORIZON), places=10)
 
 
 @registered
 def persistence_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = split.holdout_split(dense_groups(spark, sf_dir), PANEL, TEST_SIZE)
-    return forecast.persistence_forecast(train, test, PANEL)
+    flagged = split.holdout_flag(dense_groups(spark, sf_dir), PANEL, TEST_SIZE)
+    return forecast.persistence_of_flagged(flagged, PANEL)
 
 
 # --- scores -------------------------------------------------------------------------------------
@@ -228,6 +233,16 @@ def evaluation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def evaluation_metrics_unanswered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores per series where some series lack forecasts for some hours."""
+    scored = persistence_forecast(spark, sf_dir).withColumn(
+        "naive_forecast",
+        F.expr("CASE WHEN series LIKE 'c%' AND hour(ts) = 3 THEN NULL ELSE naive_forecast END"),
+    )
+    return evaluate.evaluation_metrics(scored, "y", "naive_forecast", by=["series"])
+
+
 @registered
 def backtest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = recent_frame(spark, sf_dir, HORIZON + 1)
@@ -265,6 +280,12 @@ def stored_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gappy_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forecast for each observed hour but those at 5 and 17 o'clock."""
+    observed = panels.hourly_group_series(spark, sf_dir)
+    return observed.where(~F.hour("ts").isin(5, 17)).withColumnRenamed("y", "forecast")
+
+
 @registered
 def new_rows_above_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     watermarks = upsert.high_watermarks(stored_rows(spark, sf_dir), PANEL)
@@ -321,6 +342,14 @@ def backfill_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def backfill_forecasts_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On a panel with holes, where a key's lags may lie outside its own look-back."""
+    return backfill.backfill_forecasts(
+        panels.hourly_group_series(spark, sf_dir), gappy_forecasts(spark, sf_dir), predictor, PANEL
+    )
+
+
 # --- analysis -----------------------------------------------------------------------------------
 
 
@@ -349,6 +378,14 @@ def mutual_information(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumns({c: F.round(c, 8) for c in ("mi", "score")})
 
 
+@registered
+def mutual_information_null_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame that keeps rows without a label."""
+    frame = group_frame(spark, sf_dir).withColumn("y", F.expr("CASE WHEN hour(ts) <> 3 THEN y END"))
+    scores = analysis.mutual_information(frame, PANEL.feature_names, "y", BINS)
+    return scores.withColumns({c: F.round(c, 8) for c in ("mi", "score")})
+
+
 @registered
 def selected_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = analysis.mutual_information(

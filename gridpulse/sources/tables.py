@@ -22,6 +22,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """True if a table's folder holds any date folder, beside files of its writers."""
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/{DATE}=*")
+    return bool(pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern))
+
+
 def read_table(
     spark: SparkSession,
     path: str,

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gridpulse.operators.prepare import dedup_keep_first
-from gridpulse.operators.upsert import high_watermarks, new_rows_above_watermark
-from gridpulse.sources.tables import append_series, read_table, table_exists
+from gridpulse.operators.upsert import absent_rows, high_watermarks, new_rows_above_watermark
+from gridpulse.sources.tables import append_series, has_rows, read_table, table_exists
 from gridpulse.spec import SeriesSpec
 
 
@@ -29,21 +29,42 @@ def append_above_watermark(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     new_series: str = "admit",
 ) -> Callable[[DataFrame, int], None]:
-    """Body for ``foreachBatch``. A batch that is delivered again adds nothing."""
+    """Body for ``foreachBatch``. A batch that is delivered again adds what is still missing of it.
 
-    def body(batch: DataFrame, _batch_id: int) -> None:
+    The watermarks a batch is judged by (one row per series) are stored before anything is appended.
+    If a crash leaves only some of its date folders, the batch comes again, finds its own watermarks,
+    and adds the rows whose keys are not stored yet.
+    """
+
+    def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = prepare(batch) if prepare else batch
-        stored = (
-            read_table(spark, path, spec.series_schema, spec.time_col)
-            if table_exists(spark, path)
-            else None
-        )
-        append_series(fresh_rows(rows, stored, spec, new_series), path, spec)
+        unique = dedup_keep_first(rows.select(*spec.columns), spec).persist()
+        try:
+            marks_path = f"{path}/_watermarks/batch-{batch_id}"
+            again = table_exists(spark, f"{marks_path}/_SUCCESS")
+            stored = read_stored(spark, path, spec)
+            if not again:
+                high_watermarks(stored, spec).write.mode("overwrite").parquet(marks_path)
+            marks = spark.read.schema(high_watermarks(stored, spec).schema).parquet(marks_path)
+            first = marks.isEmpty()
+            fresh = unique if first else new_rows_above_watermark(unique, marks, spec, new_series)
+            if again and not fresh.isEmpty():
+                fresh = absent_rows(fresh, stored, spec)
+            append_series(fresh, path, spec)
+        finally:
+            unique.unpersist()
 
     return body
 
 
+def read_stored(spark: SparkSession, path: str, spec: SeriesSpec) -> DataFrame:
+    """The stored rows; none if there is no table yet."""
+    if table_exists(spark, path) and has_rows(spark, path):
+        return read_table(spark, path, spec.series_schema, spec.time_col)
+    return spark.createDataFrame([], spec.series_schema)
+
+
 def start_ingest(
     spark: SparkSession,
     source: str,

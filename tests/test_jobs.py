@@ -92,7 +92,7 @@ def test_monitor_trains_saves_and_records(spark, tables):
     )
     assert passed is False
     lineage = modeling.read_lineage(spark, tables.lineage).collect()
-    assert [r["position"] for r in lineage] == [1, 2]
+    assert len(lineage) == 2
     assert lineage[0]["when_trained"] > lineage[1]["when_trained"]
     assert lineage[0]["data_start"] == T0
     assert lineage[0]["data_end"] == T0 + timedelta(days=3)

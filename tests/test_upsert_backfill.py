@@ -23,7 +23,7 @@ def test_watermark(spark):
     stored = panel(spark, [("a", h, 0) for h in range(5)] + [("b", 2, 0)])
     batch = panel(spark, [(s, h, 1) for s in ("a", "b", "new") for h in range(7)])
     marks = upsert.high_watermarks(stored, SMALL)
-    dropped = as_dict(upsert.new_rows_above_watermark(batch, marks, SMALL))
+    dropped = as_dict(upsert.new_rows_above_watermark(batch, marks, SMALL, "drop"))
     assert set(dropped) == {("a", hours(h)) for h in (5, 6)} | {("b", hours(h)) for h in range(3, 7)}
     admitted = as_dict(upsert.new_rows_above_watermark(batch, marks, SMALL, "admit"))
     assert set(admitted) - set(dropped) == {("new", hours(h)) for h in range(7)}
