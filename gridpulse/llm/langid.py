@@ -64,19 +64,52 @@ def words_of(run: str) -> list[str]:
     return out
 
 
+class PieceTable:
+    """Numbers of pieces (from 1) by a rolling 64-bit hash, looked up for whole arrays at once."""
+
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+    BITS = 18
+
+    def __init__(self, pieces: list[str]):
+        self.none = len(pieces) + 1
+        self.keys = np.zeros(1 << self.BITS, np.uint64)
+        self.values = np.full(1 << self.BITS, self.none, np.int32)
+        self.probes = 1
+        for number, piece in enumerate(pieces, 1):
+            key = 0
+            for letter in piece:
+                key = (key * int(self.FACTOR) + ord(letter) + 1) & 0xFFFFFFFFFFFFFFFF
+            at, probe = int(self.slot(np.uint64(key))), 1
+            while self.keys[at]:
+                at, probe = (at + 1) & ((1 << self.BITS) - 1), probe + 1
+            self.keys[at], self.values[at] = key, number
+            self.probes = max(self.probes, probe)
+
+    def slot(self, keys):
+        with np.errstate(over="ignore"):
+            return ((keys ^ (keys >> np.uint64(29))) * self.FACTOR >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, keys: np.ndarray, default: int) -> np.ndarray:
+        at = self.slot(keys)
+        out = np.where(self.keys[at] == keys, self.values[at], default)
+        for _ in range(self.probes - 1):
+            at = (at + 1) & ((1 << self.BITS) - 1)
+            out = np.where(self.keys[at] == keys, self.values[at], out)
+        return out
+
+
 class Lattice:
     """The pieces that fit at each place of some words of one length. Piece 0 is an unknown letter."""
 
-    def __init__(self, words: list[str], numbers: dict[str, int]):
-        n, none = len(words[0]), len(numbers) + 1
-        get = numbers.get
-        flat = [
-            get(w[i : i + k], none if k > 1 else 0) if i + k <= n else none
-            for w in words
-            for i in range(n)
-            for k in range(1, LONGEST_PIECE + 1)
-        ]
-        self.n, self.pieces = n, np.array(flat, np.int32).reshape(len(words), n, LONGEST_PIECE)
+    def __init__(self, words: list[str], table: PieceTable):
+        self.n = n = len(words[0])
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(-1, n).astype(np.uint64) + np.uint64(1)
+        self.pieces = np.full((len(words), n, LONGEST_PIECE), table.none, np.int32)
+        key = np.zeros((len(words), n), np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(1, min(LONGEST_PIECE, n) + 1):
+                key = key[:, : n - k + 1] * table.FACTOR + letters[:, k - 1 :]
+                self.pieces[:, : n - k + 1, k - 1] = table.find(key, table.none if k > 1 else 0)
 
     def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sums over segmentations of every beginning, and the log of what they were divided by.
@@ -132,16 +165,27 @@ def by_length(words: list[str]):
             yield np.array(group[i : i + step])
 
 
+def _grown(rows: np.ndarray, size: int) -> np.ndarray:
+    """``rows`` with space for ``size`` at least."""
+    if size <= len(rows):
+        return rows
+    out = np.zeros((max(size, 2 * len(rows)), rows.shape[1]))
+    out[: len(rows)] = rows
+    return out
+
+
 class Scorer:
     """Log-likelihoods of texts under every language, with a bounded memo of runs."""
 
     def __init__(self, pieces: list[str], p: np.ndarray, memo_runs: int = 400_000):
-        self.numbers = {piece: i + 1 for i, piece in enumerate(pieces)}
+        self.table = PieceTable(pieces)
         self.p, self.memo_runs = np.vstack([p, np.zeros((1, p.shape[1]))]), memo_runs
         self.clear()
 
     def clear(self) -> None:
         self.runs: dict[str, int] = {}
+        self.words: dict[str, int] = {}
+        self.found = np.zeros((1024, self.p.shape[1]))
         self.rows = np.zeros((1024, self.p.shape[1] + 1))
 
     def learn(self, runs: set[str]) -> None:
@@ -149,20 +193,21 @@ class Scorer:
             self.clear()
         runs = list(runs)
         cuts = [words_of(run) for run in runs]
-        words = list({w for cut in cuts for w in cut})
-        place = {w: i for i, w in enumerate(words)}
-        found = np.zeros((len(words) + 1, self.p.shape[1]))
+        words = list({w for cut in cuts for w in cut}.difference(self.words))
+        at = len(self.words)
+        self.found = _grown(self.found, at + len(words))
         for group in by_length(words):
-            found[group] = Lattice([words[i] for i in group], self.numbers).likelihood(self.p)
+            self.found[at + group] = Lattice([words[i] for i in group], self.table).likelihood(self.p)
+        place = self.words
+        place.update(zip(words, range(at, at + len(words)), strict=True))
         at = len(self.runs)
-        while len(self.rows) < at + len(runs):
-            self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
+        self.rows = _grown(self.rows, at + len(runs))
         flat = np.array([place[w] for cut in cuts for w in cut], np.int64)
         sizes = np.array([len(cut) for cut in cuts], np.int64)
         owner = np.repeat(np.arange(len(runs)), sizes)
         fresh = np.zeros((len(runs), self.p.shape[1] + 1))
         for k in range(self.p.shape[1]):
-            fresh[:, k] = np.bincount(owner, found[flat, k], len(runs))
+            fresh[:, k] = np.bincount(owner, self.found[flat, k], len(runs))
         fresh[:, -1] = sizes
         self.rows[at : at + len(runs)] = fresh
         self.runs.update(zip(runs, range(at, at + len(runs)), strict=True))
@@ -204,7 +249,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def maximise(counts: DataFrame, langs: list[str], pieces: list[str], rounds: int) -> np.ndarray:
     """Piece probabilities (a column a language) after some rounds of expectation maximisation."""
-    size, numbers = len(pieces) + 1, {piece: i + 1 for i, piece in enumerate(pieces)}
+    size, table = len(pieces) + 1, PieceTable(pieces)
     p = np.full((size, len(langs)), 1 / size)
     p[0] = UNKNOWN
     place = {lang: i for i, lang in enumerate(langs)}
@@ -220,7 +265,7 @@ def maximise(counts: DataFrame, langs: list[str], pieces: list[str], rounds: int
                     words, n = rows["word"].tolist(), rows["n"].to_numpy(float)
                     add = total.setdefault(lang, np.zeros(len(column)))
                     for group in by_length(words):
-                        add += Lattice([words[i] for i in group], numbers).expected(column, n[group])
+                        add += Lattice([words[i] for i in group], table).expected(column, n[group])
             for lang, sums in total.items():
                 used = np.flatnonzero(sums[:-1] > 0)
                 yield pd.DataFrame({"lang": lang, "piece": used, "n": sums[used]})
