@@ -12,11 +12,17 @@ from pyspark.sql import functions as F
 
 
 _SHIPPED: set[str] = set()
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once an application; tasks import it by name."""
+def ship(spark: SparkSession, batch_rows: int = 1000) -> None:
+    """Give the executors this package, once an application; tasks import it by name.
+
+    Rows hold whole documents, so the session's Arrow batches are kept to ``batch_rows`` at most.
+    """
     context = spark.sparkContext
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= batch_rows:
+        spark.conf.set(BATCH_ROWS, str(batch_rows))
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
         archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
