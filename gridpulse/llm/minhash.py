@@ -33,7 +33,7 @@ from gridpulse.llm.components import connected_components
 BANDS, ROWS = 24, 4
 HASHES = BANDS * ROWS
 BATCH = 16
-BLOCK = 384
+BLOCK = 2048
 _RANDOM = np.random.default_rng(4)
 FACTORS = _RANDOM.integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _RANDOM.integers(0, 1 << 63, HASHES, np.uint64)
@@ -102,29 +102,36 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def document_features(df: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, class, sig) of every row; class and sig are null for an empty set."""
+    """(id, text_key, n_shingles, class, sig) of every row; class and sig are null for an empty set.
+
+    ``text_key`` is Spark's ``xxhash64`` of the text.
+    """
     rows = pick(df, id=id_col, text=text_col)
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            sizes, classes, signatures = [], [], []
-            for text in batch.column("text"):
-                words = words_of(text.as_py())
+            keys, sizes, classes, signatures = [], [], [], []
+            for cell in batch.column("text"):
+                text = cell.as_py()
+                key = xxhash.xxh64_intdigest((text or "").encode(), 42)
+                keys.append(None if text is None else key - ((key >> 63) << 64))
+                words = words_of(text)
                 shingles = shingle_set(words, width)
                 sizes.append(len(shingles))
                 classes.append(xxhash.xxh128_digest(b"\n".join(words)) if words else None)
                 signatures.append(signature(shingles).tobytes() if words else None)
-            columns = [pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(signatures, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["id", "n_shingles", "class", "sig"])
+            numbers = [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
+            columns = [batch.column("id"), *numbers, pa.array(classes, pa.binary()), pa.array(signatures, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_key", "n_shingles", "class", "sig"])
 
-    return rows.mapInArrow(run, f"id {kind}, n_shingles bigint, class binary, sig binary")
+    return rows.mapInArrow(run, f"id {kind}, text_key bigint, n_shingles bigint, class binary, sig binary")
 
 
 def bucket_rows(reps: DataFrame) -> DataFrame:
-    """(bucket, id, leader, members) for every bucket of two or more."""
+    """(bucket, band, id, leader, members) for every bucket of two or more."""
     band = f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(sig, {4 * ROWS} * b + 1, {4 * ROWS})))"
-    rows = reps.select("id", F.explode(F.expr(band)).alias("bucket"))
+    rows = reps.select("id", F.posexplode(F.expr(band)).alias("band", "bucket"))
     sizes = rows.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("members"))
     return rows.join(sizes.where("members > 1"), "bucket")
 
@@ -162,8 +169,10 @@ def star_links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int,
 def _likely_pairs(rows: pd.DataFrame, least: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows i, j of a block whose components differ and whose signatures pass, most equal ones first.
 
-    In a block pair only pairs of the two halves count; a block alone has one half.
+    In a block pair only pairs of the two halves count; a block alone has one half. A pair that shares
+    several buckets counts in that of the first band only.
     """
+    band = rows["band"].iloc[0] if len(rows) else 0
     sig = np.frombuffer(b"".join(rows["sig"]), "<u4").reshape(-1, HASHES)
     comp, half = rows["component_id"].to_numpy(), rows["half"].to_numpy()
     two = len(np.unique(half)) > 1
@@ -172,6 +181,8 @@ def _likely_pairs(rows: pd.DataFrame, least: list[int]) -> tuple[np.ndarray, np.
         others = np.arange(i + 1, len(rows))
         others = others[(comp[others] != comp[i]) & ((half[others] != half[i]) | (not two))]
         if len(others):
+            equal = (sig[others] == sig[i]).reshape(-1, BANDS, ROWS).all(2)
+            others = others[equal.argmax(1) == band]
             others = others[survivors(np.broadcast_to(sig[i], (len(others), HASHES)), sig[others], least)]
             out_i.append(np.full(len(others), i))
             out_j.append(others)
@@ -193,17 +204,14 @@ def rest_links(
     mixed = known.groupBy("bucket").agg(
         F.min("component_id").alias("low"),
         F.max("component_id").alias("high"),
-        F.count("*").alias("members"),
-        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("mark"),
     )
-    # Many bands have the same members: one bucket stands for them.
-    mixed = mixed.where("low <> high").groupBy("members", "mark").agg(F.min("bucket").alias("bucket"))
-    rows = known.drop("members", "leader").join(mixed.select("bucket", "members"), "bucket")
+    rows = known.drop("leader").join(mixed.where("low <> high").select("bucket"), "bucket")
     rows = rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # A row goes to each pair of blocks that holds its own.
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "bucket",
+        "band",
         F.least("block", "other").alias("first"),
         F.greatest("block", "other").alias("second"),
         (F.col("block") < F.col("other")).alias("half"),
@@ -240,7 +248,7 @@ def rest_links(
         return pd.DataFrame(out, columns=["id", "leader"])
 
     signatures = reps.select("id", "sig")
-    schema = f"bucket bigint, first int, second int, half boolean, id {kind}, component_id {kind}"
+    schema = f"bucket bigint, band int, first int, second int, half boolean, id {kind}, component_id {kind}"
     likely = cut(rows.join(signatures, "id").groupBy(*task).applyInPandas(involved, schema))
     full = likely.join(signatures, "id").join(texts, "id")
     return full.groupBy(*task).applyInPandas(link, f"id {kind}, leader {kind}")
@@ -254,7 +262,7 @@ def near_duplicates(
     percent: int = 80,
     miss: float = 1e-6,
 ) -> DataFrame:
-    """``id_col``, n_shingles, component_id (smallest id of the group) and kept, for every row."""
+    """``id_col``, n_shingles, component_id (smallest id of the group), kept and text_key, for every row."""
     features = cut(document_features(df, width, id_col, text_col))
     classes = cut(features.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("rep")))
     own = features.join(classes.select("class", F.col("rep").alias("id")), ["class", "id"], "left_semi")
@@ -272,20 +280,21 @@ def near_duplicates(
     groups = classes.join(components, classes["rep"] == components["id"], "left").select(
         F.col("class"), F.coalesce("component_id", "rep").alias("component_id")
     )
-    found = features.select("id", "n_shingles", "class").join(groups, "class", "left")
+    found = features.select("id", "text_key", "n_shingles", "class").join(groups, "class", "left")
     component = F.coalesce("component_id", "id")
     return found.select(
         F.col("id").alias(id_col),
         "n_shingles",
         component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),
+        "text_key",
     )
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``df``, one document of each group: that of the smallest id, once if it is repeated."""
     kept = near_duplicates(df, id_col, text_col, width, percent).where("kept")
-    kept = kept.select(F.col(id_col).alias("__kept")).distinct()
-    rows = df.join(kept, df[id_col].eqNullSafe(kept["__kept"]), "left_semi")
-    # The same id may stand for other texts too; only copies go.
-    return rows.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"]).drop("__text")
+    kept = kept.select(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).distinct()
+    rows = df.withColumn("__text", F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)))
+    same = rows[id_col].eqNullSafe(kept["__id"]) & rows["__text"].eqNullSafe(kept["__key"])
+    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, "__text"]).drop("__text")
