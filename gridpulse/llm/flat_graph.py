@@ -8,7 +8,9 @@ itself, the search expands through all that is in range. Pairs found are verifie
 
 Tasks give each vector's number of links (a pair counts in the smallest shard that both share) and a
 spanning forest, so a group of copies costs rows in proportion to its size. An audit compares a bounded
-sample with all rows; below ``least_recall`` the work is repeated with one more shard a vector.
+sample with all rows, by links, by vectors and by groups; while one of the three is below ``least_recall``
+the work is repeated with one more shard a vector, and after the widest overlap all cells that can hold a
+link are compared exactly. That is right on any table, but quadratic where vectors have no clusters.
 
 Vectors that are null, zero or hold a null or non-finite component link with nothing and are their own
 component; so is a null id. Rows that repeat an id and a vector count as links of each other. An empty
@@ -49,13 +51,13 @@ def with_class(rows: DataFrame) -> DataFrame:
 def robust_prune(near: np.ndarray, s: np.ndarray) -> np.ndarray:
     """At most ``DEGREE`` of each row's candidates (nearest first): one is left out if a kept one is nearer to it.
 
-    ``s`` holds all similarities; distances are chords. Rows are padded with themselves.
+    ``s`` holds all similarities; distances are chords. Rows, also of ``near``, are padded with themselves.
     """
     n, width = near.shape
     out = np.repeat(np.arange(n)[:, None], DEGREE, 1)
     own = np.arange(n)
     to_row = 2 - 2 * np.take_along_axis(s, near, 1)
-    alive = np.ones((n, width), bool)
+    alive = near != own[:, None]
     for k in range(min(DEGREE, width)):
         some = alive.any(1)
         first = alive.argmax(1)
@@ -79,7 +81,22 @@ def build(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     np.fill_diagonal(hidden, -np.inf)
     near = np.argpartition(-hidden, width - 1, axis=1)[:, :width]
     order = np.argsort(-np.take_along_axis(hidden, near, 1), axis=1, kind="stable")
-    return robust_prune(np.take_along_axis(near, order, 1), s), s
+    return with_reverse(robust_prune(np.take_along_axis(near, order, 1), s), s), s
+
+
+def with_reverse(links: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """``links`` and their reverse; rows of more than ``DEGREE`` are pruned again, from their 64 nearest."""
+    n = len(links)
+    i, j = np.repeat(np.arange(n), links.shape[1]), links.ravel()
+    keys = np.unique(np.concatenate([i * n + j, j * n + i])[np.concatenate([i != j, i != j])])
+    i, j = keys // n, keys % n
+    order = np.lexsort((-s[i, j], i))
+    i, j = i[order], j[order]
+    place = np.arange(len(i)) - np.searchsorted(i, i)
+    near = np.repeat(np.arange(n)[:, None], 64, 1)
+    near[i[place < 64], place[place < 64]] = j[place < 64]
+    few = np.bincount(i, minlength=n) <= DEGREE
+    return np.where(few[:, None], near[:, :DEGREE], robust_prune(near, s))
 
 
 def range_search(s: np.ndarray, links: np.ndarray, reach: float) -> np.ndarray:
@@ -207,8 +224,78 @@ def linked(reps: DataFrame, centres: np.ndarray, overlap: int, least: float) ->
     return full.groupBy(*task).applyInPandas(search, "id bigint, links bigint, root bigint")
 
 
+def exact_rows(reps: DataFrame, centres: np.ndarray, least: float) -> DataFrame:
+    """(id, vec, n, cell, first, second, half): every pair of ``least`` or more meets in exactly one task, unless both are ``half``.
+
+    A vector lives in the cell of its nearest centre and visits each cell of a lower number in which a vector
+    near enough can live: if y is nearer to c than to d, then x(d - c) <= |x - y| |d - c| for all x.
+    """
+    shared = reps.sparkSession.sparkContext.broadcast(centres)
+    apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
+    reach = float(np.sqrt(max(2 - 2 * least, 0))) + 1e-6
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                near = unit(matrix(batch.column("vec"))) @ shared.value.T
+                home = near.argmax(1)
+                cells = []
+                for k, own in enumerate(home):
+                    below = np.arange(own)
+                    visited = below[near[k, own] - near[k, :own] <= reach * apart[own, :own]]
+                    cells.append(np.append(own, visited).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], names=["id", "vec", "n", "cells"])
+
+    rows = cut(reps.select("id", "vec", "n").mapInArrow(run, "id bigint, vec array<double>, n bigint, cells array<int>"))
+    # The first is the own cell.
+    rows = rows.select("id", "vec", "n", F.posexplode("cells").alias("place", "cell")).withColumn("guest", F.col("place") > 0)
+    sizes = rows.groupBy("cell").agg(F.count_if("guest").alias("guests"), F.count_if(~F.col("guest")).alias("members"))
+    rows = rows.join(sizes.where("members > 0"), "cell")
+    rows = rows.withColumn("blocks", F.ceil(F.col("members") / (2 * SHARD)).cast("int"))
+    rows = rows.withColumn("guest_blocks", F.greatest(F.lit(1), F.ceil(F.col("guests") / (2 * SHARD))).cast("int"))
+    within = F.when(F.col("guest"), F.col("guest_blocks")).otherwise(F.col("blocks"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), within).cast("int"))
+    # Blocks of guests are numbered after the cell's own; they meet the own ones, not each other.
+    last = F.when(F.col("guest"), F.col("blocks")).otherwise(F.col("blocks") + F.when(F.col("guests") > 0, F.col("guest_blocks")).otherwise(0))
+    rows = rows.withColumn("block", F.when(F.col("guest"), F.col("block") + F.col("blocks")).otherwise(F.col("block")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), (last - 1).cast("int"))))
+    first, second = F.least("block", "other"), F.greatest("block", "other")
+    return rows.select("id", "vec", "n", "cell", first.alias("first"), second.alias("second"), (F.col("block") < F.col("other")).alias("half"))
+
+
+def exact_links(reps: DataFrame, centres: np.ndarray, least: float) -> DataFrame:
+    """The rows of ``linked``, complete: all vectors of cells that can hold a link are compared."""
+
+    def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("id", ignore_index=True)
+        x, ids, n = unit(stacked(part["vec"])), part["id"].to_numpy(), len(part)
+        one = key[1] == key[2]
+        left = np.arange(n) if one else np.flatnonzero(part["half"])
+        right = left if one else np.flatnonzero(~part["half"])
+        weight = part["n"].to_numpy().astype(float)
+        degree, root = np.zeros(n), np.arange(n)
+        for k in range(0, len(left), 512):
+            i, j = np.nonzero(x[left[k : k + 512]] @ x[right].T >= least - 1e-9)
+            i, j = left[k + i], right[j]
+            i, j = (i[i < j], j[i < j]) if one else (i, j)
+            exact = np.concatenate([(x[i[m : m + 65536]] * x[j[m : m + 65536]]).sum(1) for m in range(0, len(i), 65536)] or [np.empty(0)])
+            i, j = i[exact >= least], j[exact >= least]
+            degree += np.bincount(i, weight[j], n) + np.bincount(j, weight[i], n)
+            # Joined with what earlier rows of this task joined.
+            root = local_roots(np.concatenate([i, np.arange(n)]), np.concatenate([j, root]), n)
+        some = degree > 0
+        return pd.DataFrame({"id": ids[some], "links": degree[some].astype(np.int64), "root": ids[root[some]]})
+
+    tasks = exact_rows(reps, centres, least).groupBy("cell", "first", "second")
+    return tasks.applyInPandas(compare, "id bigint, links bigint, root bigint")
+
+
 def audit(reps: DataFrame, found: DataFrame, total: int, least: float, asked: int) -> float:
-    """Share of all true links of about ``asked`` vectors that were found; all rows are compared with them."""
+    """The recall of about ``asked`` vectors, with which all rows are compared.
+
+    It is the least of three: the share of their links that was found, the mean of the linked vectors'
+    shares, and that mean with a weight for each group (a vector of n links counts 1/(n + 1)).
+    """
     chosen = reps.where(hashed_share(F.col("id"), asked, total, "audit")).orderBy("id").limit(2 * asked).select("id", "vec").collect()
     ids, x = np.array([r["id"] for r in chosen]), unit(np.array([r["vec"] for r in chosen], np.float64))
     shared = reps.sparkSession.sparkContext.broadcast((ids, x))
@@ -225,8 +312,10 @@ def audit(reps: DataFrame, found: DataFrame, total: int, least: float, asked: in
 
     true = reps.select("id", "vec", "n").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     sums = true.join(found.groupBy("id").agg(F.sum("links").alias("links")), "id", "left")
-    row = sums.agg(F.sum("n").alias("n"), F.sum(F.least("n", F.coalesce("links", F.lit(0)))).alias("links")).first()
-    return row["links"] / row["n"] if row["n"] else 1.0
+    met = F.least("n", F.coalesce("links", F.lit(0)))
+    weights = (F.col("n"), F.lit(1.0), 1 / (F.col("n") + 1))
+    recalls = sums.agg(*((F.sum(w * met / F.col("n")) / F.sum(w)).alias(f"r{k}") for k, w in enumerate(weights))).first()
+    return 1.0 if recalls[0] is None else min(recalls)
 
 
 def near_duplicates(
@@ -256,6 +345,8 @@ def near_duplicates(
         found = cut(linked(reps, centres, overlap, least))
         if audit(reps, found, total, least, audited) >= least_recall:
             break
+    else:
+        found = cut(exact_links(reps, centres, least))
     components = connected_components(found, "id", "root")
     degree = found.groupBy("id").agg(F.sum("links").alias("links"))
     groups = classes.join(degree, classes["rep"] == degree["id"], "left").drop("id")

@@ -150,6 +150,48 @@ def test_flat_graph_equals_brute_force(frames, monkeypatch, size):
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
 
 
+def skewed(spark, frames):
+    """Vectors of one large group and of pairs, and what finds only the links of the group."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(560, 16))
+    x[:400] = x[0] + rng.normal(size=(400, 16)) * 0.02
+    x[401:560:2] = x[400:560:2] + rng.normal(size=(80, 16)) * 0.02
+    x = x.astype(np.float32)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    group = [(i, int(near[i].sum()) - 1, 0) for i in range(400)]
+    return x, near, spark.createDataFrame(group, "id BIGINT, links BIGINT, root BIGINT")
+
+
+def test_audit_is_not_hidden_by_a_large_group(spark, frames):
+    x, near, group = skewed(spark, frames)
+    reps = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x.astype(float))], "id BIGINT, vec ARRAY<DOUBLE>, n BIGINT")
+    assert near[:400].sum() - 400 >= 0.99 * (near.sum() - 560)
+    assert flat_graph.audit(reps, group, 560, 0.95, 1000) < 0.5
+
+
+@pytest.mark.parametrize("size", [1024, 64])
+def test_links_that_the_search_misses_are_found_exactly(spark, frames, monkeypatch, size):
+    x, near, group = skewed(spark, frames)
+    monkeypatch.setattr(flat_graph, "SHARD", size)
+    monkeypatch.setattr(flat_graph, "linked", lambda *_: group)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = {r["vec_id"]: r for r in flat_graph.near_duplicates(frames.vectors([*rows, (900, rows[500][1])])).collect()}
+    want, twin = roots(range(560), lambda a, b: near[a, b]), near[500]
+    assert {i: got[i]["component_id"] for i in want} == want
+    assert [got[i]["n_links"] for i in want] == [near[i].sum() - 1 + twin[i] for i in want]
+    assert (got[900]["n_links"], got[900]["component_id"]) == (got[500]["n_links"], want[500])
+
+
+def test_graph_has_reverse_links():
+    x = flat_graph.unit(np.random.default_rng(8).normal(size=(12, 8)))
+    own = np.arange(12)
+    links = np.repeat(own[:, None], flat_graph.DEGREE, 1)
+    links[:, 0] = 0
+    found = flat_graph.with_reverse(links, x @ x.T)
+    assert set(found[0]) == set(own) and all(set(found[i]) == {0, i} for i in own[1:])
+
+
 def test_range_search_walks_from_medoid():
     rng = np.random.default_rng(2)
     x = flat_graph.unit(np.vstack([rng.normal(size=(150, 8)), np.ones((30, 8)) + rng.normal(size=(30, 8)) * 0.05]))
