@@ -1,7 +1,8 @@
 """Language ID by unigrams over a fixed public vocabulary, marginalised over segmentations.
 
 Each language has a probability for every piece of the vocabulary. A word's likelihood is the sum over
-all ways to cut it into pieces, by a forward algorithm; a text's is the product over its words. Piece
+all ways to cut its UTF-8 bytes into pieces of any length, by a forward algorithm; a text's is the product
+over its words. A letter that is no whole piece is made of byte pieces, which every language has. Piece
 probabilities come from expectation maximisation on the word counts of labelled texts: Spark counts the
 words, tasks take the expected piece counts by forward and backward sums, Spark adds them up.
 
@@ -32,34 +33,40 @@ from gridpulse.llm.wordbpe import byte_letters
 VOCABULARY = "word_bpe_49k.json"
 LETTERS = re.compile(r"[^\W\d_]+")
 END = "\x01"
-LONGEST_PIECE = 8
+RESCALED = 8
 LONGEST_WORD = 64
 UNKNOWN = 1e-6
 
 
 def read_pieces(path: str) -> list[str]:
-    """The vocabulary's pieces that consist of letters; one that ends a word carries ``END``."""
+    """The vocabulary's pieces of letters or of parts of letters, a character a byte; one that ends a word carries ``END``."""
     model = json.load(open(path, encoding="utf-8"))["model"]
     mark, to_byte = model["end_of_word_suffix"], {c: b for b, c in enumerate(byte_letters())}
     found = {END}
     for token in model["vocab"]:
         core = token.removesuffix(mark)
+        piece = bytes(map(to_byte.__getitem__, core))
         try:
-            text = bytes(map(to_byte.__getitem__, core)).decode()
+            fits = LETTERS.fullmatch(piece.decode()) is not None
         except UnicodeDecodeError:
-            continue
-        if text.isalpha() and len(text) < LONGEST_PIECE:
-            found.add(text if core == token else text + END)
+            fits = True
+        if fits:
+            found.add(as_bytes(piece) if core == token else as_bytes(piece) + END)
     return sorted(found)
 
 
+def as_bytes(text: str | bytes) -> str:
+    """A character for each byte of the UTF-8 text."""
+    return (text.encode() if isinstance(text, str) else text).decode("latin-1")
+
+
 def words_of(run: str) -> list[str]:
-    """Lower-case letter runs with their end mark."""
+    """Lower-case letter runs with their end mark, a character a byte."""
     if run.isalpha() and len(run) <= LONGEST_WORD:
-        return [run.lower() + END]
+        return [as_bytes(run.lower()) + END]
     out = []
     for word in LETTERS.findall(run.lower()):
-        parts = [word[i : i + LONGEST_WORD] for i in range(0, len(word), LONGEST_WORD)]
+        parts = [as_bytes(word[i : i + LONGEST_WORD]) for i in range(0, len(word), LONGEST_WORD)]
         out += [*parts[:-1], parts[-1] + END]
     return out
 
@@ -71,7 +78,7 @@ class PieceTable:
     BITS = 18
 
     def __init__(self, pieces: list[str]):
-        self.none = len(pieces) + 1
+        self.none, self.longest = len(pieces) + 1, max(map(len, pieces))
         self.keys = np.zeros(1 << self.BITS, np.uint64)
         self.values = np.full(1 << self.BITS, self.none, np.int32)
         self.probes = 1
@@ -99,36 +106,50 @@ class PieceTable:
 
 
 class Lattice:
-    """The pieces that fit at each place of some words of one length. Piece 0 is an unknown letter."""
+    """The pieces that fit at each place of some words of one length. Piece 0 is a letter that no piece has.
+
+    ``fits[i]`` holds (k, rows, pieces) for the pieces of k letters from place i, and the rows (words) that have one.
+    """
 
     def __init__(self, words: list[str], table: PieceTable):
         self.n = n = len(words[0])
         letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(-1, n).astype(np.uint64) + np.uint64(1)
-        self.pieces = np.full((len(words), n, LONGEST_PIECE), table.none, np.int32)
+        self.words, self.longest = len(words), table.longest
+        self.fits: list[list[tuple]] = [[] for _ in range(n)]
         key = np.zeros((len(words), n), np.uint64)
         with np.errstate(over="ignore"):
-            for k in range(1, min(LONGEST_PIECE, n) + 1):
+            for k in range(1, min(table.longest, n) + 1):
                 key = key[:, : n - k + 1] * table.FACTOR + letters[:, k - 1 :]
-                self.pieces[:, : n - k + 1, k - 1] = table.find(key, table.none if k > 1 else 0)
+                found = table.find(key, table.none if k > 1 else 0)
+                if k == 1:
+                    for i in range(n):
+                        self.fits[i].append((1, slice(None), found[:, i]))
+                    continue
+                places, rows = np.nonzero(found.T != table.none)
+                ends = np.searchsorted(places, np.arange(n - k + 2))
+                pieces = found[rows, places]
+                for i in np.flatnonzero(ends[1:] > ends[:-1]):
+                    own = slice(ends[i], ends[i + 1])
+                    self.fits[i].append((k, rows[own], pieces[own]))
 
     def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sums over segmentations of every beginning, and the log of what they were divided by.
 
         ``p``: a row for each piece, a column for each language, the last row 0.
         """
-        size = (self.n + 1, len(self.pieces), p.shape[1])
+        size = (self.n + 1, self.words, p.shape[1])
         a, scale = np.zeros(size), np.zeros(size)
         a[0] = 1
         log = np.zeros(size[1:])
-        for i in range(1, self.n + 1):
-            for k in range(1, min(LONGEST_PIECE, i) + 1):
-                a[i] += a[i - k] * p[self.pieces[:, i - k, k - 1]]
-            scale[i] = log
-            if i % LONGEST_PIECE == 0:
-                recent = slice(i - LONGEST_PIECE + 1, i + 1)
-                top = a[recent].max(0)
-                a[recent] /= top
-                scale[recent] = log = log + np.log(top)
+        for i in range(self.n):
+            for k, rows, pieces in self.fits[i]:
+                a[i + k, rows] += a[i, rows] * p[pieces]
+            scale[i + 1] = log
+            if (i + 1) % RESCALED == 0:
+                # Place i + 1 is complete; the sums begun after it are divided alike.
+                begun, top = slice(i + 1, i + self.longest + 1), a[i + 1].copy()
+                a[begun] /= top
+                scale[i + 1] = log = log + np.log(top)
         return a, scale
 
     def likelihood(self, p: np.ndarray) -> np.ndarray:
@@ -140,17 +161,18 @@ class Lattice:
         a, scale = self.forward(p)
         a, logs = a[:, :, 0], scale[:, :, 0]
         total = np.log(a[-1]) + logs[-1]
-        b = np.full((self.n + 1, len(self.pieces)), -np.inf)
+        b = np.full((self.n + 1, self.words), -np.inf)
         b[self.n] = 0
         out = np.zeros(len(p))
         with np.errstate(divide="ignore"):
             log_p, log_a = np.log(p[:, 0]), np.log(a)
         for i in range(self.n - 1, -1, -1):
-            reach = [log_p[self.pieces[:, i, k - 1]] + b[i + k] for k in range(1, min(LONGEST_PIECE, self.n - i) + 1)]
-            b[i] = np.logaddexp.reduce(reach, axis=0)
-            before = log_a[i] + logs[i]
-            for k, r in enumerate(reach):
-                out += np.bincount(self.pieces[:, i, k], counts * np.exp(before + r - total), len(p))
+            reach = [log_p[pieces] + b[i + k, rows] for k, rows, pieces in self.fits[i]]
+            for (_, rows, _), r in zip(self.fits[i], reach, strict=True):
+                b[i, rows] = np.logaddexp(b[i, rows], r)
+            before = log_a[i] + logs[i] - total
+            for (_, rows, pieces), r in zip(self.fits[i], reach, strict=True):
+                out += np.bincount(pieces, counts[rows] * np.exp(before[rows] + r), len(p))
         return out
 
 

@@ -60,6 +60,29 @@ def test_expected_counts_are_those_of_all_segmentations():
         assert math.isclose(found[k], slope, rel_tol=1e-4)
 
 
+def test_letters_without_a_piece_tell_languages_apart(spark, frames):
+    # Hebrew, Greek and Cyrillic letters: two made-up languages a script, of the same word lengths.
+    ship(spark)
+    rng, rows, asked, want = random.Random(6), [], [], {}
+    for script, letters in {"he": "אבגדהוזחטיכל", "el": "αβγδεζηθικλμ", "ru": "абвгдежзийкл"}.items():
+        for half, own in (("1", letters[:6]), ("2", letters[6:])):
+            for _ in range(20):
+                rows.append((len(rows), " ".join("".join(rng.choices(own, k=4)) for _ in range(20)), script + half, "s"))
+            want[len(asked)] = script + half
+            asked.append((len(asked), " ".join("".join(rng.choices(own, k=4)) for _ in range(5))))
+    model = langid.fit(frames.docs(rows).selectExpr("doc_id AS id", "lang", "text"), rounds=2)
+    got = langid.predict(frames.docs(asked), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == want and all(r["score"] > 0.9 for r in got)
+
+
+def test_every_byte_is_a_piece():
+    pieces = langid.read_pieces(langid.public_tokenizers.path(langid.VOCABULARY))
+    table, words = langid.PieceTable(pieces), langid.words_of("ß中ΩжŠא" + "𝒳")
+    assert len(words) == 1
+    for letter in words[0]:
+        assert langid.Lattice([letter], table).fits[0][0][2][0] > 0
+
+
 def test_long_words_do_not_underflow(model):
     scorer = langid.Scorer(*model[1:])
     assert np.isfinite(scorer.score(["ж" * 5000 + " " + "q" * 64, "x" * 63])).all()
