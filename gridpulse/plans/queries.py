@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -397,26 +396,6 @@ def selected_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- models -------------------------------------------------------------------------------------
 
 
-def short_candidates() -> list[modeling.Candidate]:
-    """The default kinds of model with few, shallow trees."""
-    boosted, forest = modeling.default_candidates()
-    return [
-        modeling.Candidate(
-            boosted.name,
-            GBTRegressor,
-            {**boosted.base, "maxIter": 5, "maxDepth": 3},
-            {"maxDepth": lambda rng: rng.randrange(2, 5), "stepSize": boosted.space["stepSize"]},
-            early_stopping=True,
-        ),
-        modeling.Candidate(
-            forest.name,
-            RandomForestRegressor,
-            {**forest.base, "numTrees": 5, "maxDepth": 3},
-            {"maxDepth": lambda rng: rng.randrange(2, 5)},
-        ),
-    ]
-
-
 def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return type_frame(spark, sf_dir).persist()
 
@@ -425,7 +404,7 @@ def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def walk_forward_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = training_frame(spark, sf_dir)
     try:
-        run = modeling.walk_forward(frame, short_candidates()[0], PANEL, k=FOLDS)
+        run = modeling.walk_forward(frame, modeling.default_candidates()[0], PANEL, k=FOLDS)
         return modeling.scores_table(frame, [run])
     finally:
         frame.unpersist()
@@ -435,7 +414,7 @@ def walk_forward_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = training_frame(spark, sf_dir)
     try:
-        chosen, runs = modeling.select_model(frame, PANEL, short_candidates(), k=FOLDS)
+        chosen, runs = modeling.select_model(frame, PANEL, modeling.default_candidates(), k=FOLDS)
         scores = modeling.scores_table(frame, runs)
         return (
             scores.groupBy("run", "name")
@@ -450,7 +429,8 @@ def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tuning_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = training_frame(spark, sf_dir)
     try:
-        _, trials = modeling.tune(frame, short_candidates()[0], PANEL, n_trials=2, k=FOLDS, seed=7)
+        boosted = modeling.default_candidates()[0]
+        _, trials = modeling.tune(frame, boosted, PANEL, n_trials=20, k=FOLDS, seed=7)
         return modeling.scores_table(frame, trials)
     finally:
         frame.unpersist()
