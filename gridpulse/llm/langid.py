@@ -163,7 +163,7 @@ class Lattice:
         total = np.log(a[-1]) + logs[-1]
         b = np.full((self.n + 1, self.words), -np.inf)
         b[self.n] = 0
-        out = np.zeros(len(p))
+        used, weights = [], []
         with np.errstate(divide="ignore"):
             log_p, log_a = np.log(p[:, 0]), np.log(a)
         for i in range(self.n - 1, -1, -1):
@@ -172,8 +172,9 @@ class Lattice:
                 b[i, rows] = np.logaddexp(b[i, rows], r)
             before = log_a[i] + logs[i] - total
             for (_, rows, pieces), r in zip(self.fits[i], reach, strict=True):
-                out += np.bincount(pieces, counts[rows] * np.exp(before[rows] + r), len(p))
-        return out
+                used.append(pieces)
+                weights.append(counts[rows] * np.exp(before[rows] + r))
+        return np.bincount(np.concatenate(used), np.concatenate(weights), len(p))
 
 
 def by_length(words: list[str]):

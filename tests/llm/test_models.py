@@ -83,6 +83,14 @@ def test_every_byte_is_a_piece():
         assert langid.Lattice([letter], table).fits[0][0][2][0] > 0
 
 
+def test_long_pieces_enter_the_lattice():
+    pieces = langid.read_pieces(langid.public_tokenizers.path(langid.VOCABULARY))
+    longest = max((x for x in pieces if x.endswith(langid.END)), key=len)
+    table = langid.PieceTable(pieces)
+    assert len(longest) > 20
+    assert (len(longest), pieces.index(longest) + 1) in [(k, found[0]) for k, _, found in langid.Lattice([longest], table).fits[0]]
+
+
 def test_long_words_do_not_underflow(model):
     scorer = langid.Scorer(*model[1:])
     assert np.isfinite(scorer.score(["ж" * 5000 + " " + "q" * 64, "x" * 63])).all()
