@@ -359,13 +359,20 @@ def predict(df: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
 
 
-def keep_known(df: DataFrame, model, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``df`` in a learned language with a score of ``least`` or more, with all their columns."""
+def keep_known(df: DataFrame, model, text_col: str = "text", least: float = 0.5, enough_words: int = 20) -> DataFrame:
+    """The rows of ``df`` in a learned language, with all their columns; all rows if none was learned.
+
+    A score under ``least`` rejects only a text of ``enough_words``: fewer may be words that languages share.
+    """
+    if not model[0]:
+        return df
     find = predictor(df.sparkSession, model)
 
     def run(batches):
         for batch in batches:
-            found, scores = find([t.as_py() or "" for t in batch.column(text_col)])
-            yield batch.filter(pa.array((np.array(found, object) != "und") & (scores >= least), pa.bool_()))
+            texts = [t.as_py() or "" for t in batch.column(text_col)]
+            found, scores = find(texts)
+            short = np.array([len(t.split(None, enough_words)) < enough_words for t in texts], bool)
+            yield batch.filter(pa.array((np.array(found, object) != "und") & (short | (scores >= least)), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

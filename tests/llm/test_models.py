@@ -121,6 +121,16 @@ def test_filter_keeps_rows_whole(frames, model):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 1]
 
 
+def test_filter_keeps_short_texts_and_all_without_a_language(frames):
+    texts = [f"{w} la" for w in "ab cd ef".split() * 20]
+    rows = [(i, t, lang, "s") for i, (t, lang) in enumerate((t, lang) for t in texts for lang in ("es", "fr", "it"))]
+    same = langid.fit(frames.docs(rows).selectExpr("doc_id AS id", "lang", "text"), rounds=2)
+    df = frames.docs([(1, "la"), (2, "123"), (3, "la " * 40)], extra=True)
+    assert sorted(r["doc_id"] for r in langid.keep_known(df, same).collect()) == [1]
+    nothing = langid.fit(frames.docs([]).selectExpr("doc_id AS id", "lang", "text"))
+    assert langid.keep_known(df, nothing).count() == 3
+
+
 def quality_rows(n):
     rng = random.Random(1)
     for i in range(n):
