@@ -4,7 +4,7 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
-from conftest import panel
+from panel_helpers import panel
 
 from gridpulse.operators import analysis
 from gridpulse.sources.panels import PANEL

@@ -5,7 +5,7 @@ from dataclasses import replace
 from datetime import timedelta
 
 import pytest
-from conftest import HOUR, T0, as_dict, hours, panel
+from panel_helpers import HOUR, T0, as_dict, hours, panel
 from pyspark import StorageLevel
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F

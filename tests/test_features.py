@@ -4,7 +4,7 @@ from dataclasses import replace
 from datetime import datetime
 
 import pytest
-from conftest import as_dict, hours, panel
+from panel_helpers import as_dict, hours, panel
 
 from gridpulse.functions.calendar import aliased, calendar_features
 from gridpulse.operators import features, forecast

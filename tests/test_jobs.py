@@ -2,7 +2,7 @@ from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import HOUR, T0, as_dict, hours, panel
+from panel_helpers import HOUR, T0, as_dict, hours, panel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@ from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import HOUR, T0, as_dict, hours, panel
+from panel_helpers import HOUR, T0, as_dict, hours, panel
 
 from gridpulse.operators import prepare
 from gridpulse.operators.blocks import attach_per_series

@@ -2,7 +2,7 @@ from dataclasses import replace
 from datetime import timedelta
 
 import pytest
-from conftest import as_dict, hours, panel
+from panel_helpers import as_dict, hours, panel
 from pyspark.sql import functions as F
 
 from gridpulse.operators import evaluate, features, forecast, quality, split
