@@ -120,3 +120,64 @@ def shards(count: int, seed: int) -> str:
            CAST(shard AS INTEGER) AS shard, CAST(place - (shard * n + {count - 1}) // {count} AS BIGINT) AS slot,
            CAST(NULL AS INTEGER) AS grown_shard, source AS stratum_source
     FROM cut"""
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value}, '-')"
+
+
+def _leaf(count: str) -> str:
+    return f"sha256({' || '.join(map(_framed, ('doc_id', 'source', 'lang', count, 'text')))})"
+
+
+def _levels(name: str, leaves: str) -> str:
+    """Nodes of all levels over (tree, k, d), and the depth of each tree."""
+    return f"""{name}(tree, lvl, k, d) AS (
+        SELECT tree, 0, k, d FROM {leaves}
+        UNION ALL
+        SELECT tree, lvl + 1, k // 2, sha256(string_agg(d, '' ORDER BY k))
+        FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}) WHERE n > 1
+        GROUP BY tree, lvl, k // 2
+    ),
+    {name}_top AS (SELECT tree, max(lvl) AS depth, max_by(d, lvl) AS d FROM {name} GROUP BY tree)"""
+
+
+def _folded(name: str, start: str, nodes: str) -> str:
+    """Ways up from (id, tree, k, d, proof), one row a level."""
+    return f"""{name}(id, tree, lvl, k, d, proof) AS (
+        SELECT id, tree, 0, k, d, proof FROM {start}
+        UNION ALL
+        SELECT f.id, f.tree, f.lvl + 1, f.k // 2,
+               sha256(CASE WHEN f.k % 2 = 1 THEN s.d || f.d ELSE f.d || coalesce(s.d, '') END),
+               f.proof || coalesce(s.d, '')
+        FROM {name} f JOIN {nodes}_top t ON t.tree = f.tree AND f.lvl < t.depth
+        LEFT JOIN {nodes} s ON s.tree = f.tree AND s.lvl = f.lvl AND s.k = xor(f.k, 1)
+    ),
+    {name}_end AS (SELECT f.* FROM {name} f JOIN {nodes}_top t ON t.tree = f.tree AND t.depth = f.lvl)"""
+
+
+MERKLE = f"""
+    WITH RECURSIVE {CRC_TABLE},
+    given AS (
+        SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS tree, {_leaf("n_chars")} AS leaf,
+               CASE WHEN {crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} END AS tampered
+        FROM documents, crc_table
+    ),
+    leaves AS (
+        SELECT *, leaf AS d, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k FROM given
+    ),
+    {_levels("inner_nodes", "leaves")},
+    groups_ AS (
+        SELECT '' AS tree, tree AS grp, row_number() OVER (ORDER BY tree) - 1 AS k, d FROM inner_nodes_top
+    ),
+    {_levels("outer_nodes", "groups_")},
+    ways AS (SELECT id, tree, k, coalesce(tampered, leaf) AS d, '' AS proof FROM leaves),
+    {_folded("inner_ways", "ways", "inner_nodes")},
+    between_ AS (
+        SELECT w.id, g.tree, g.k, w.d, w.proof FROM inner_ways_end w JOIN groups_ g ON g.grp = w.tree
+    ),
+    {_folded("outer_ways", "between_", "outer_nodes")}
+    SELECT l.doc_id, l.leaf, s.d AS subroot, r.d AS root, sha256(w.proof) AS proof_sha256, w.d AS folded_root,
+           w.d = r.d AS verified
+    FROM leaves l JOIN outer_ways_end w ON w.id = l.id JOIN inner_nodes_top s ON s.tree = l.tree
+    JOIN outer_nodes_top r ON true"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridpulse.llm import flat_graph, langid, learned_partitions, oracle, warc
 from gridpulse.llm.bpe import round_trip
 from gridpulse.llm.common import crc_mod, pick, table
+from gridpulse.llm.merkle import verified_manifest
 from gridpulse.llm.minhash import near_duplicates
 from gridpulse.llm.packing import pack
 from gridpulse.llm.quality import quality_scores
@@ -63,6 +64,10 @@ def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +81,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_quality_classifier,
         op10_stratified_shards,
+        op11_merkle_manifest,
     )
 }
 
@@ -84,4 +90,5 @@ SQL: dict[str, str] = {
     "op4_minhash_dedup": oracle.near_duplicates(4, 80),
     "op7_warc_round_trip": oracle.WARC,
     "op10_stratified_shards": oracle.shards(8, 20),
+    "op11_merkle_manifest": oracle.MERKLE,
 }
