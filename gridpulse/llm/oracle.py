@@ -181,3 +181,94 @@ MERKLE = f"""
            w.d = r.d AS verified
     FROM leaves l JOIN outer_ways_end w ON w.id = l.id JOIN inner_nodes_top s ON s.tree = l.tree
     JOIN outer_nodes_top r ON true"""
+
+
+def conversation_repair() -> str:
+    far = 1 << 40
+    stays = f"CASE WHEN fault IN ('b', 'd') THEN {far} WHEN fault = 't' THEN 5 ELSE 0 END"
+
+    def plain(state: str, kept: str, rerole: str) -> str:
+        return f"least(2 + {state}, {stays} + ({kept}), {stays} + 1 + {rerole})"
+
+    kept = {
+        "e": f"CASE initial WHEN 's' THEN s WHEN 'u' THEN u ELSE {far} END",
+        "s": f"CASE initial WHEN 'u' THEN u ELSE {far} END",
+        "u": f"CASE initial WHEN 'a' THEN a ELSE {far} END",
+        "a": f"CASE initial WHEN 'u' THEN u ELSE {far} END",
+    }
+    to = {"e": "u", "s": "u", "u": "a", "a": "u"}
+    # Before a row without an insert, then with: one insert more only leads back.
+    first = ", ".join(f"{plain(q, kept[q], to[q])} AS {q}0" for q in kept)
+    second = "least(u0, 5 + a0) AS u1, least(a0, 5 + u0) AS a1, least(e0, 5 + least(u0, 5 + a0)) AS e1, least(s0, 5 + least(u0, 5 + a0)) AS s1"
+    acts = ", ".join(
+        f"CASE WHEN 2 + {q} = {q}1 THEN 'D' WHEN 5 + {to[q]}1 = {q}1 THEN 'I' "
+        f"WHEN {stays} + ({kept[q]}) = {q}1 THEN 'K' ELSE 'R' END AS act_{q}"
+        for q in kept
+    )
+    act = "CASE state WHEN 'e' THEN act_e WHEN 's' THEN act_s WHEN 'u' THEN act_u ELSE act_a END"
+    after_insert = "CASE state WHEN 'u' THEN 'a' ELSE 'u' END"
+    word = "CASE state WHEN 'u' THEN 'assistant' ELSE 'user' END"
+    blanks = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+    WITH RECURSIVE {CRC_TABLE},
+    given AS (
+        SELECT coalesce('=' || conv_id, '') AS conv, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind
+        FROM conversations, crc_table
+    ),
+    hurt AS (
+        SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM (SELECT *, unnest(CASE kind WHEN 0 THEN []::INTEGER[] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM given)
+    ),
+    numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS initial,
+               rtrim(text, {blanks}) AS body
+        FROM hurt
+    ),
+    judged AS (
+        SELECT *, CASE WHEN body = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'd'
+                    WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+               lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial AS pair
+        FROM numbered
+    ),
+    counts AS (
+        SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+               count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM judged GROUP BY conv
+    ),
+    costs AS (
+        SELECT conv, n + 1 AS i, 0 AS e, 10 AS s, 5 AS u, 0 AS a, '' AS act_e, 'I' AS act_s, 'I' AS act_u, '' AS act_a FROM counts
+        UNION ALL
+        SELECT conv, i, e1, s1, u1, a1, {acts}
+        FROM (
+            SELECT *, {second} FROM (
+                SELECT c.conv, j.i, j.initial, j.fault, c.e, c.s, c.u, c.a, {first}
+                FROM costs c JOIN judged j ON j.conv = c.conv AND j.i = c.i - 1
+            )
+        )
+    ),
+    walk AS (
+        SELECT conv, CAST(1 AS BIGINT) AS i, 'e' AS state, '' AS audit, []::VARCHAR[] AS lines, false AS done FROM counts
+        UNION ALL
+        SELECT conv, CASE WHEN act IN ('D', 'K', 'R') THEN i + 1 ELSE i END,
+               CASE act WHEN 'K' THEN initial WHEN 'I' THEN {after_insert} WHEN 'R' THEN {after_insert} ELSE state END,
+               audit || act,
+               CASE act WHEN 'K' THEN list_append(lines, role || ':' || text) WHEN 'I' THEN list_append(lines, {word} || ':')
+                        WHEN 'R' THEN list_append(lines, {word} || ':' || text) ELSE lines END,
+               act = ''
+        FROM (
+            SELECT w.*, j.role, j.text, j.initial, {act} AS act
+            FROM walk w JOIN costs c ON c.conv = w.conv AND c.i = w.i
+            LEFT JOIN judged j ON j.conv = w.conv AND j.i = w.i
+            WHERE NOT w.done
+        )
+    )
+    SELECT g.conv_id, coalesce(n.gaps, 0) AS gaps, coalesce(n.blank, 0) AS blank, coalesce(n.duplicate, 0) AS duplicate,
+           coalesce(n.truncated, 0) AS truncated, coalesce(n.illegal, 0) AS illegal, coalesce(CAST(c.e AS BIGINT), 0) AS cost,
+           coalesce(w.audit, '') AS audit, sha256(coalesce(array_to_string(w.lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv, conv_id FROM given) g
+    LEFT JOIN counts n ON n.conv = g.conv
+    LEFT JOIN costs c ON c.conv = g.conv AND c.i = 1
+    LEFT JOIN walk w ON w.conv = g.conv AND w.done"""

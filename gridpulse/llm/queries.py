@@ -14,6 +14,7 @@ from gridpulse.llm.merkle import verified_manifest
 from gridpulse.llm.minhash import near_duplicates
 from gridpulse.llm.packing import pack
 from gridpulse.llm.quality import quality_scores
+from gridpulse.llm.repair import repair
 from gridpulse.llm.sharding import interleave
 from gridpulse.llm.tokencount import token_counts
 
@@ -68,6 +69,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(table(spark, sf_dir, "conversations"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,6 +87,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_classifier,
         op10_stratified_shards,
         op11_merkle_manifest,
+        op13_conversation_repair,
     )
 }
 
@@ -91,4 +97,5 @@ SQL: dict[str, str] = {
     "op7_warc_round_trip": oracle.WARC,
     "op10_stratified_shards": oracle.shards(8, 20),
     "op11_merkle_manifest": oracle.MERKLE,
+    "op13_conversation_repair": oracle.conversation_repair(),
 }
