@@ -272,3 +272,25 @@ def conversation_repair() -> str:
     LEFT JOIN counts n ON n.conv = g.conv
     LEFT JOIN costs c ON c.conv = g.conv AND c.i = 1
     LEFT JOIN walk w ON w.conv = g.conv AND w.done"""
+
+
+def repeated_windows(width: int) -> str:
+    return f"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+    ),
+    starts AS (
+        SELECT row, doc_id, w, unnest(range(1, len(w) - {width - 2})) AS i FROM docs WHERE len(w) >= {width}
+    ),
+    found AS (SELECT row, doc_id, i, array_to_string(w[i:i + {width - 1}], ' ') AS words FROM starts),
+    firsts AS (SELECT words, min(doc_id) AS first_id FROM found GROUP BY words),
+    gone AS (
+        SELECT DISTINCT row, unnest(range(i, i + {width})) AS at
+        FROM found JOIN firsts USING (words) WHERE first_id < doc_id
+    ),
+    gone_of AS (SELECT row, list(at) AS places FROM gone GROUP BY row)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+           sha256(array_to_string(CASE WHEN places IS NULL THEN w
+               ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(places, i)), lambda i: w[i]) END, ' '))
+               AS kept_sha256
+    FROM docs LEFT JOIN gone_of USING (row)"""

@@ -16,6 +16,7 @@ from gridpulse.llm.packing import pack
 from gridpulse.llm.quality import quality_scores
 from gridpulse.llm.repair import repair
 from gridpulse.llm.sharding import interleave
+from gridpulse.llm.substrings import remove_repeats
 from gridpulse.llm.tokencount import token_counts
 
 
@@ -69,6 +70,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), want=("n_words", "n_removed", "kept_sha256"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(table(spark, sf_dir, "conversations"))
 
@@ -87,6 +92,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_classifier,
         op10_stratified_shards,
         op11_merkle_manifest,
+        op12_substring_dedup,
         op13_conversation_repair,
     )
 }
@@ -97,5 +103,6 @@ SQL: dict[str, str] = {
     "op7_warc_round_trip": oracle.WARC,
     "op10_stratified_shards": oracle.shards(8, 20),
     "op11_merkle_manifest": oracle.MERKLE,
+    "op12_substring_dedup": oracle.repeated_windows(13),
     "op13_conversation_repair": oracle.conversation_repair(),
 }
