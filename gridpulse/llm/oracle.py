@@ -285,10 +285,10 @@ def repeated_windows(width: int) -> str:
     found AS (SELECT row, doc_id, i, array_to_string(w[i:i + {width - 1}], ' ') AS words FROM starts),
     firsts AS (SELECT words, min(doc_id) AS first_id FROM found GROUP BY words),
     gone AS (
-        SELECT DISTINCT row, unnest(range(i, i + {width})) AS at
+        SELECT DISTINCT row, unnest(range(i, i + {width})) AS place
         FROM found JOIN firsts USING (words) WHERE first_id < doc_id
     ),
-    gone_of AS (SELECT row, list(at) AS places FROM gone GROUP BY row)
+    gone_of AS (SELECT row, list(place) AS places FROM gone GROUP BY row)
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
            sha256(array_to_string(CASE WHEN places IS NULL THEN w
                ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(places, i)), lambda i: w[i]) END, ' '))
