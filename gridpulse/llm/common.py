@@ -49,15 +49,24 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut(df: DataFrame, release: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     The rows are computed once, later plans start at the files, and a lost executor costs only the
-    tasks it ran. The files live as long as that folder.
+    tasks it ran. The files live as long as that folder. With ``release`` the shuffle files behind them
+    go once they are written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/gridpulse/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(RELEASE)
+    spark.conf.set(RELEASE, str(release or before == "true").lower())
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(RELEASE, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

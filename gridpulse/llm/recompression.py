@@ -3,8 +3,8 @@
 Rounds name runs of one symbol and pairs of neighbours. A pair is replaced if its first symbol is of the
 left class and its second of the right one; the class is a bit of the symbol's name, so whether a pair
 is replaced depends on the pair alone and equal substrings get equal symbols inside. Names are hashes of
-what they replace, two words of 64 bits: they are global without a dictionary, and a round that only
-names needs no exchange. What tasks must exchange is which names occur in several documents.
+what they replace: they are global without a dictionary, and a round that only names needs no exchange.
+What tasks must exchange is which names occur in several documents.
 
 A symbol is *determined* by the words between its ``low`` and ``high``: whatever stands outside, these
 words are always cut so. Every window of words sees the symbols whose bounds lie inside it, at least its
@@ -14,16 +14,12 @@ equal anchors, and neighbours mostly share one, so there are far fewer anchors t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
-#: Rounds whose symbols may be anchors; later ones are wider than a window.
-NEAR_ROUNDS = 3
-#: Later rounds go on until symbols have this many words; those are looked up as they are.
-LONG = 48
-ROUNDS = 24
+ROUNDS = 4
 CHUNK = 1 << 16
 
 U = np.uint64
@@ -75,23 +71,22 @@ def word_names(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 @dataclass
 class Symbols:
-    """Neighbouring symbols: two names, first word and end, and the bounds of the words that determine them."""
+    """Neighbouring symbols: name, first word and end, and the bounds of the words that determine them."""
 
     a: np.ndarray
-    b: np.ndarray
     start: np.ndarray
     end: np.ndarray
     low: np.ndarray
     high: np.ndarray
 
     @classmethod
-    def of_words(cls, a: np.ndarray, b: np.ndarray) -> Symbols:
+    def of_words(cls, a: np.ndarray) -> Symbols:
         at = np.arange(len(a))
-        return cls(a, b, at, at + 1, at, at + 1)
+        return cls(a, at, at + 1, at, at + 1)
 
-    def merged(self, first: np.ndarray, last: np.ndarray, a: np.ndarray, b: np.ndarray) -> Symbols:
-        """Symbols from ``first`` to ``last`` under new names."""
-        return Symbols(a, b, self.start[first], self.end[last], self.low[first], self.high[last])
+    def merged(self, first: np.ndarray, last: np.ndarray) -> Symbols:
+        """Symbols from ``first`` to ``last``, still under the first one's name."""
+        return Symbols(self.a[first], self.start[first], self.end[last], self.low[first], self.high[last])
 
     def judged(self, old: Symbols, first: np.ndarray, last: np.ndarray, left: np.ndarray | slice, right: np.ndarray | slice) -> Symbols:
         """Widen the bounds of the symbols at ``left`` and ``right``, where the neighbour had a say."""
@@ -102,61 +97,44 @@ class Symbols:
         return self
 
 
-def name_runs(s: Symbols, seed: int, bounds: bool = True) -> Symbols:
+def name_runs(s: Symbols, seed: int) -> Symbols:
     """Runs of one symbol become a symbol; both neighbours say where a run ends."""
     first = np.flatnonzero(np.r_[True, s.a[1:] != s.a[:-1]])
     length = np.diff(np.r_[first, len(s.a)])
     last = first + length - 1
-    out = s.merged(first, last, s.a[first], s.b[first])
+    out = s.merged(first, last)
     many = np.flatnonzero(length > 1)
-    count = length[many].astype(np.uint64)
-    out.a[many], out.b[many] = joined(out.a[many], count, seed), joined(out.b[many], count, seed + 1)
-    return out.judged(s, first, last, slice(None), slice(None)) if bounds else out
+    out.a[many] = joined(out.a[many], length[many].astype(np.uint64), seed)
+    return out.judged(s, first, last, slice(None), slice(None))
 
 
-def name_pairs(s: Symbols, seed: int, most: int | None = None, bounds: bool = True) -> Symbols:
-    """Pairs of a left and a right symbol become a symbol; symbols of ``most`` words or more stay."""
+def name_pairs(s: Symbols, seed: int) -> Symbols:
+    """Pairs of a left and a right symbol become a symbol."""
     lefts = (s.a >> U(seed % 61)) & U(1) == 0
     pair = lefts[:-1] & ~lefts[1:]
-    if most:
-        open_ = s.end - s.start < most
-        pair &= open_[:-1] & open_[1:]
     first = np.flatnonzero(~np.r_[False, pair])
     two = np.r_[pair, False][first]
     last = first + two
-    out = s.merged(first, last, s.a[first], s.b[first])
+    out = s.merged(first, last)
     both = np.flatnonzero(two)
-    after = first[both] + 1
-    out.a[both], out.b[both] = joined(out.a[both], s.a[after], seed), joined(out.b[both], s.b[after], seed + 1)
-    if not bounds:
-        return out
+    out.a[both] = joined(out.a[both], s.a[first[both] + 1], seed)
     # A symbol that stays alone does so because of the neighbour it might have been paired with.
     alone, as_left = ~two, lefts[first]
     return out.judged(s, first, last, np.flatnonzero(alone & ~as_left), np.flatnonzero(alone & as_left))
 
 
-def near_rounds(a: np.ndarray, b: np.ndarray) -> Iterator[Symbols]:
-    """Symbols of the words and of the first rounds."""
-    s = Symbols.of_words(a, b)
+def rounds(a: np.ndarray) -> Iterator[Symbols]:
+    """The words, their runs, and the symbols of each round of pairs."""
+    s = Symbols.of_words(a)
     yield s
     s = name_runs(s, 1)
-    for k in range(NEAR_ROUNDS):
+    for k in range(ROUNDS):
         yield s
         s = name_pairs(s, 3 + 2 * k)
     yield s
 
 
-def long_symbols(s: Symbols, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, start, end) of symbols grown to ``LONG`` words, as far as rounds reach it."""
-    for k in range(ROUNDS):
-        if (s.end - s.start >= LONG).all():
-            break
-        s = name_pairs(name_runs(s, 23 + 4 * k, bounds=False), 25 + 4 * k, LONG, bounds=False)
-    wide = s.end - s.start >= max(width, LONG // 2)
-    return s.a[wide], s.b[wide], s.start[wide], s.end[wide]
-
-
-def anchors(levels: list[Symbols], n: int, width: int) -> np.ndarray:
+def anchors(levels: Iterable[Symbols], n: int, width: int) -> np.ndarray:
     """The anchor of each window of ``width`` words; ``best[i]`` belongs to the window at word i."""
     table = np.zeros((width + 1, n + 1), np.uint64)
     for s in levels:
@@ -194,25 +172,13 @@ def windows(a: np.ndarray, b: np.ndarray, width: int) -> tuple[np.ndarray, np.nd
     return named(a, 1001), named(b, 2001)
 
 
-@dataclass
-class Parsed:
-    """Anchors of all windows, and the long symbols, of an array of words."""
+def window_anchors(a: np.ndarray, width: int) -> np.ndarray:
+    """The anchor of the window at each word, in chunks that overlap by a window less a word.
 
-    anchors: np.ndarray
-    a: np.ndarray
-    b: np.ndarray
-    start: np.ndarray
-    end: np.ndarray
-
-
-def parse(a: np.ndarray, b: np.ndarray, width: int) -> Parsed:
-    """Parse in chunks that overlap by a window less a word: anchors do not depend on where chunks begin."""
+    An anchor does not depend on where chunks begin.
+    """
     found = [np.empty(0, np.uint64)]
-    longs = [(a[:0], b[:0], np.empty(0, np.int64), np.empty(0, np.int64))]
     for begin in range(0, len(a) - width + 1, CHUNK):
-        part = slice(begin, begin + CHUNK + width - 1)
-        levels = list(near_rounds(a[part], b[part]))
-        found.append(anchors(levels, len(a[part]), width))
-        *names, start, end = long_symbols(levels[-1], width)
-        longs.append((*names, start + begin, end + begin))
-    return Parsed(np.concatenate(found), *map(np.concatenate, zip(*longs, strict=True)))
+        part = a[begin : begin + CHUNK + width - 1]
+        found.append(anchors(rounds(part), len(part), width))
+    return np.concatenate(found)

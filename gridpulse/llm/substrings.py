@@ -1,19 +1,20 @@
 """Removal of repeated passages: words of windows that an earlier document holds too.
 
 Texts are gathered into blocks of about ``BLOCK`` bytes and parsed by ``recompression``: rounds that name
-runs and pairs give equal passages equal symbols inside, whatever surrounds them. Then Spark exchanges
-names, not windows, in two rounds.
+runs and pairs give equal passages equal symbols inside, whatever surrounds them. Every window has an
+anchor, the widest symbol that its words determine; neighbouring windows with one anchor are a *stretch*.
+Then Spark exchanges names in two rounds.
 
-1. *Reveal.* Each block sends the anchors of its windows and its long symbols, each once with the least
-   and greatest id that has it; those that only one document has are dropped. A long symbol whose least
-   id is smaller than a document's own settles all windows inside it: they are removed, and need not be
-   sent, for the other document holds them as well.
-2. *Verify.* Windows that are not settled and whose anchor several documents have are sent by their own
-   128-bit names, again once a block with least and greatest id, and come back where a smaller id has them.
+1. *Reveal.* Blocks send the names of anchors and of their stretches. A stretch that a smaller id has
+   settles all its windows: they are removed, and need not be compared, for the other document holds
+   them as well. So the inside of a long repeat is verified by its stretches. Windows are left over only
+   where several documents share an anchor in different stretches, as at the ends of a repeat.
+2. *Verify.* Those are sent by their own 128-bit names, and come back where a smaller id has them.
 
-A name is in a group once a block, so the most frequent passage makes as many rows as there are blocks,
-not as there are documents. Nothing is dropped for being frequent, and texts of any length take part
-whole; a task holds one block, that is at least one whole text.
+Names go once a block with the least and greatest id that has them; an anchor with many stretches in a
+block goes without their names, which leaves its windows to the second round. So the most frequent
+passage makes a few rows a block, however many documents have it. Nothing is dropped for being frequent,
+and texts of any length take part whole; a task holds one block, that is at least one whole text.
 
 Cases: null text has no words; a null id is nobody's smaller id and loses nothing; rows that share an id
 do not count as each other's smaller one; documents shorter than a window lose nothing; an empty table
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +35,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import cut, pick
-from gridpulse.llm.recompression import parse, windows, word_names
+from gridpulse.llm.recompression import joined, window_anchors, windows, word_names
 
 WIDTH = 13
 BLOCK = 1 << 20
 
 CELLS = ("block", "ids", "sizes", "payload")
 NAMES = ["block", "a", "b", "lo", "hi"]
-#: Set in the second name of a long symbol, so that it is no anchor.
-LONG_NAME = np.uint64(1)
+#: Stretches of one anchor that a block names at most.
+STRETCHES = 4
 
 
 def blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK) -> DataFrame:
@@ -123,74 +125,116 @@ def covered(n: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.cumsum(depth[:-1]) > 0
 
 
-def names_of(table: pa.Table, where: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(a, b, least) of a block's names, sorted."""
-    a, b, least = (table.column(c).to_numpy()[where] for c in ("a", "b", "least"))
-    a, b = a.view(np.uint64), b.view(np.uint64)
+def by_name(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b) of a block's names, sorted, and the order that sorts them."""
+    a, b = (table.column(c).to_numpy().view(np.uint64) for c in ("a", "b"))
     order = np.lexsort((b, a))
-    return a[order], b[order], least[order]
+    return a[order], b[order], order
 
 
 def name_columns(block: int, a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[pa.Array]:
     return [pa.array(c, pa.int64()) for c in (np.full(len(a), block), a.view(np.int64), b.view(np.int64), lo, hi)]
 
 
-def shared(names: DataFrame, keep: str) -> DataFrame:
-    """Names that several ids have, where ``keep`` says so, with the ``least`` id of all blocks."""
-    alike = Window.partitionBy("a", "b")
-    every = names.withColumns({"least": F.min("lo").over(alike), "greatest": F.max("hi").over(alike)})
-    return every.where(keep).select("block", "a", "b", "least")
+@dataclass
+class Stretches:
+    """Neighbouring windows of a document with one anchor, ``width`` at most: names, first and last window."""
+
+    a: np.ndarray
+    b: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+    @classmethod
+    def of(cls, block: Block, names: np.ndarray, width: int) -> Stretches:
+        anchors = window_anchors(block.a, width)
+        at = np.flatnonzero(block.whole)
+        if not len(at):
+            return cls(anchors[at], anchors[at], at, at)
+        begins = np.r_[True, (np.diff(at) > 1) | (anchors[at[1:]] != anchors[at[:-1]]) | (block.doc[at[1:]] != block.doc[at[:-1]])]
+        place = np.arange(len(at))
+        inside = place - np.maximum.accumulate(np.where(begins, place, 0))
+        begin = np.flatnonzero(inside % width == 0)
+        first, last = at[begin], at[np.r_[begin[1:], len(at)] - 1]
+        # The first and the last window hold all words of the stretch.
+        b = joined(joined(names[first], names[last], 31), (last - first).astype(np.uint64), 32) | np.uint64(1)
+        return cls(anchors[first], b, first, last)
+
+
+def once_an_anchor(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct names, but of an anchor with many stretches only itself, with b = 0."""
+    if not len(a):
+        return a, b, lo, hi
+    first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+    count = np.diff(np.r_[first, len(a)])
+    many = count > STRETCHES
+    few = np.repeat(~many, count)
+    least, greatest = np.minimum.reduceat(lo, first)[many], np.maximum.reduceat(hi, first)[many]
+    parts = (a[few], a[first[many]]), (b[few], np.zeros(many.sum(), np.uint64)), (lo[few], least), (hi[few], greatest)
+    return tuple(map(np.concatenate, parts))
 
 
 def reveal(held: DataFrame, width: int) -> DataFrame:
-    """Anchors (b = 0) and long symbols that matter to a block: (block, a, b, least)."""
+    """Names that matter to a block, (block, a, b, least, various).
+
+    ``least`` is the smallest id that has the stretch; ``various``: documents share the anchor in
+    several stretches.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 number, *cells = (batch.column(c)[row].as_py() for c in CELLS)
                 block = Block(*cells, width)
-                found = parse(block.a, block.b, width)
-                at = np.flatnonzero(block.whole)
-                anchors = once_a_block(found.anchors[at], np.zeros(len(at), np.uint64), block.key[at])
-                own = block.within(found.start, found.end)
-                longs = once_a_block(found.a[own], found.b[own] | LONG_NAME, block.key[found.start[own]])
-                columns = name_columns(number, *map(np.concatenate, zip(anchors, longs, strict=True)))
-                yield pa.RecordBatch.from_arrays(columns, names=NAMES)
-
-    names = held.mapInArrow(run, ", ".join(f"{c} bigint" for c in NAMES))
-    # An anchor matters to every block once two ids have it, a long symbol to those with a larger id.
-    return shared(names, "if(b = 0, least < greatest, least < hi)")
+                found = Stretches.of(block, windows(block.a, block.b, width)[0], width)
+                names = once_an_anchor(*once_a_block(found.a, found.b, block.key[found.first]))
+                yield pa.RecordBatch.from_arrays(name_columns(number, *names), names=NAMES)
+
+    # Dealt by anchor once: both windows find their rows together.
+    names = held.mapInArrow(run, ", ".join(f"{c} bigint" for c in NAMES)).repartition("a")
+    stretch, anchor = Window.partitionBy("a", "b"), Window.partitionBy("a")
+    known = names.withColumn("least", F.min("lo").over(stretch)).withColumns(
+        {
+            "ids": F.min("lo").over(anchor) < F.max("hi").over(anchor),
+            "kinds": (F.min("b").over(anchor) < F.max("b").over(anchor)) | (F.col("b") == 0),
+        }
+    )
+    various = F.col("ids") & F.col("kinds")
+    settles = (F.col("b") != 0) & (F.col("least") < F.col("hi"))
+    return cut(known.where(settles | various).select("block", "a", "b", "least", various.alias("various")), release=True)
 
 
-def verify(held: DataFrame, revealed: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """(block, mask): a bit for each window that a long symbol settles; (block, a, b, least): the other windows to remove."""
+def verify(held: DataFrame, revealed: DataFrame, width: int) -> DataFrame:
+    """(block, mask): a bit for each window that a stretch settles; (block, a, b, least): others to remove."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         number, *cells = (left.column(c)[0].as_py() for c in CELLS)
         names, masks = name_columns(number, *[np.empty(0, np.int64)] * 4), []
         if len(right):
             block = Block(*cells, width)
-            found = parse(block.a, block.b, width)
-            is_long = right.column("b").to_numpy() != 0
-            a, b, least = names_of(right, is_long)
-            at = find(found.a, found.b | LONG_NAME, a, b)
-            hit = (at >= 0) & block.within(found.start, found.end)
-            hit[hit] = block.key[found.start[hit]] > least[at[hit]]
-            settled = covered(len(block.whole), found.start[hit], found.end[hit] - width + 1)
-            a, b, _ = names_of(right, ~is_long)
-            near = find(found.anchors, np.zeros_like(found.anchors), a, b) >= 0
-            at = np.flatnonzero(block.whole & ~settled & near)
             a, b = windows(block.a, block.b, width)
+            found = Stretches.of(block, a, width)
+            known_a, known_b, order = by_name(right)
+            at = find(found.a, found.b, known_a, known_b)
+            settled = at >= 0
+            settled[settled] = block.key[found.first[settled]] > right.column("least").to_numpy()[order][at[settled]]
+            shared = known_a[right.column("various").to_numpy(zero_copy_only=False)[order]]
+            open_ = np.isin(found.a, shared) & ~settled
+            at = np.flatnonzero(covered(len(block.whole), found.first[open_], found.last[open_] + 1))
             names = name_columns(number, *once_a_block(a[at], b[at], block.key[at]))
-            masks = [np.packbits(settled).tobytes()] if settled.any() else []
+            mask = covered(len(block.whole), found.first[settled], found.last[settled] + 1)
+            masks = [np.packbits(mask).tobytes()] if settled.any() else []
         columns = [pa.concat_arrays([c, pa.nulls(len(masks), pa.int64())]) for c in names[1:]]
         given = [pa.array([None] * len(names[0]) + masks, pa.binary()), pa.array([number] * len(columns[0]), pa.int64())]
         return pa.Table.from_arrays([*given, *columns], names=["mask", *NAMES])
 
     schema = "mask binary, " + ", ".join(f"{c} bigint" for c in NAMES)
-    told = cut(held.groupBy("block").cogroup(revealed.groupBy("block")).applyInArrow(run, schema))
-    return told.where("mask IS NOT NULL").select("block", "mask"), shared(told.where("mask IS NULL"), "least < hi")
+    told = held.groupBy("block").cogroup(revealed.groupBy("block")).applyInArrow(run, schema)
+    told = cut(told, release=True)
+    names = told.where("mask IS NULL").withColumn("least", F.min("lo").over(Window.partitionBy("a", "b")))
+    columns = ["block", "a", "b", "least", "mask"]
+    masks = told.where("mask IS NOT NULL").withColumn("least", F.lit(None).cast("bigint"))
+    return cut(names.where("least < hi").select(*columns).unionByName(masks.select(*columns)), release=True)
 
 
 def remove_repeats(
@@ -208,11 +252,7 @@ def remove_repeats(
     """
     kind = df.schema[id_col].dataType
     held = cut(blocks(df, id_col, text_col, block_bytes))
-    settled, verified = verify(held, reveal(held, width), width)
-    nothing = F.lit(None)
-    told = verified.withColumn("mask", nothing.cast("binary")).unionByName(
-        settled.select("block", "mask", *[nothing.cast("bigint").alias(c) for c in ("a", "b", "least")])
-    )
+    told = verify(held, reveal(held, width), width)
     types = {
         "n_words": ("bigint", pa.int64()),
         "n_removed": ("bigint", pa.int64()),
@@ -229,10 +269,11 @@ def remove_repeats(
             masks = [m for m in right.column("mask").to_pylist() if m is not None]
             n = len(block.whole)
             drop = np.unpackbits(np.frombuffer(masks[0], np.uint8), count=n).astype(bool) if masks else np.zeros(n, bool)
-            a, b, least = names_of(right.select(["a", "b", "least"]).drop_null(), slice(None))
+            verified = right.select(["a", "b", "least"]).drop_null()
+            a, b, order = by_name(verified)
             at = find(*windows(block.a, block.b, width), a, b)
             hit = (at >= 0) & block.whole
-            hit[hit] = block.key[:n][hit] > least[at[hit]]
+            hit[hit] = block.key[:n][hit] > verified.column("least").to_numpy()[order][at[hit]]
             first = np.flatnonzero(drop | hit)
             gone = covered(len(block.a), first, first + width)
         ends = np.searchsorted(block.doc, np.arange(len(block.ids) + 1))

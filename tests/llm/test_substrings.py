@@ -1,7 +1,6 @@
 import hashlib
 import random
 
-import numpy as np
 import pytest
 
 from gridpulse.llm import recompression, substrings
@@ -64,15 +63,16 @@ def test_equals_brute_force(spark, vocabulary, width, block):
     assert found(df, width=width, block_bytes=block) == brute(rows, width)
 
 
-def test_long_copies_are_settled_by_long_symbols(spark):
+def test_long_copies_are_settled_by_stretches(spark):
     rng = random.Random(3)
     text = [f"w{rng.randrange(5000)}" for _ in range(4000)]
     rows = [(i, " ".join([f"own{i}"] * i + text + [f"end{i}"])) for i in range(1, 9)]
     df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
     assert found(df) == brute(rows, 13)
     held = substrings.cut(substrings.blocks(df, "doc_id", "text"))
-    settled, verified = substrings.verify(held, substrings.reveal(held, 13), 13)
-    assert sum(bin(b).count("1") for r in settled.collect() for b in r["mask"]) > 7 * 4000 * 0.6
+    told = substrings.verify(held, substrings.reveal(held, 13), 13)
+    assert sum(bin(b).count("1") for r in told.where("mask IS NOT NULL").collect() for b in r["mask"]) > 7 * 3900
+    assert told.where("mask IS NULL").count() < 200
 
 
 def test_odd_rows(spark, frames, odd_rows):
@@ -92,9 +92,9 @@ def test_chunks_do_not_matter(spark, monkeypatch):
     assert found(df) == brute(rows, 13)
     data = " ".join(t for _, t in rows).encode()
     a, b, _, _ = recompression.word_names(data)
-    whole = recompression.parse(a, b, 13).anchors
+    whole = recompression.window_anchors(a, 13)
     monkeypatch.setattr(recompression, "CHUNK", 37)
-    assert (recompression.parse(a, b, 13).anchors == whole).all()
+    assert (recompression.window_anchors(a, 13) == whole).all()
 
 
 def test_texts_and_ranges(spark):
@@ -116,22 +116,10 @@ def test_equal_windows_have_equal_anchors(vocabulary):
     data = b" ".join(words)
     a, b, start, end = recompression.word_names(data)
     assert [data[i:j] for i, j in zip(start, end, strict=True)] == words
-    anchors = recompression.parse(a, b, 13).anchors
+    anchors = recompression.window_anchors(a, 13)
     names = recompression.windows(a, b, 13)
     by_words, by_name = {}, {}
     for i in range(len(words) - 12):
         window = tuple(words[i : i + 13])
         assert by_words.setdefault(window, (anchors[i], names[0][i], names[1][i])) == (anchors[i], names[0][i], names[1][i])
         assert by_name.setdefault((names[0][i], names[1][i]), window) == window
-
-
-def test_equal_long_symbols_are_equal_words():
-    rng = random.Random(2)
-    words = [b"v%d" % rng.randrange(3) for _ in range(20_000)]
-    words[9000:12_000] = words[1000:4000]
-    a, b, _, _ = recompression.word_names(b" ".join(words))
-    found = recompression.parse(a, b, 13)
-    seen = {}
-    for name, i, j in zip(zip(found.a, found.b, strict=True), found.start, found.end, strict=True):
-        assert seen.setdefault(name, words[i:j]) == words[i:j]
-    assert len(seen) < len(found.a) and np.diff(np.c_[found.start, found.end]).min() >= 13
