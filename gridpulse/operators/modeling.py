@@ -12,12 +12,13 @@ from typing import Any
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.functions.timegrid import ntz, shift
 from gridpulse.operators.evaluate import evaluation_metrics
+from gridpulse.operators.ridge import FoldMoments, fold_moments
 from gridpulse.operators.split import fold_boundaries
 from gridpulse.sources.tables import append_plain, table_exists
 from gridpulse.spec import LINEAGE_SCHEMA, SeriesSpec
@@ -28,13 +29,17 @@ VALIDATION = "_validation"
 
 @dataclass(frozen=True)
 class Candidate:
-    """A kind of regressor, its fixed parameters and its search space."""
+    """A kind of regressor, its fixed parameters and its search space.
+
+    ``penalty`` names the parameter of a linear model whose folds are scored from moments.
+    """
 
     name: str
     estimator: type
     base: dict[str, Any] = field(default_factory=dict)
     space: dict[str, Callable[[random.Random], Any]] = field(default_factory=dict)
     early_stopping: bool = False
+    penalty: str | None = None
 
     def build(
         self, spec: SeriesSpec, params: dict[str, Any] | None = None, validated: bool = True
@@ -61,7 +66,7 @@ def require_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def default_candidates(seed: int = 0) -> list[Candidate]:
-    """Gradient-boosted trees and a random forest, with the ranges searched by ``tune``."""
+    """Gradient-boosted trees, a random forest and ridge, with the ranges searched by ``tune``."""
     return [
         Candidate(
             name="GBTRegressor",
@@ -85,6 +90,13 @@ def default_candidates(seed: int = 0) -> list[Candidate]:
                 "minInstancesPerNode": lambda rng: rng.randrange(5, 300),
             },
         ),
+        Candidate(
+            name="LinearRegression",
+            estimator=LinearRegression,
+            base={"solver": "normal", "standardization": False, "regParam": 1.0},
+            space={"regParam": lambda rng: 10 ** rng.uniform(-3, 4)},
+            penalty="regParam",
+        ),
     ]
 
 
@@ -94,7 +106,7 @@ class Trained:
 
     candidate: Candidate
     params: dict[str, Any]
-    model: PipelineModel
+    model: PipelineModel | None
     rmse: float
     fold_scores: list[dict[str, Any]]
     untuned_rmse: float | None = None
@@ -141,13 +153,17 @@ def walk_forward(
     folds: list[dict[str, Any]] | None = None,
     parallelism: int = 4,
     refit_all: bool = False,
+    moments: FoldMoments | None = None,
 ) -> Trained:
     """Fit on each fold's train part, score on its validation part, average the RMSE.
 
     The returned model is the last fold's; with ``refit_all`` it is fitted on all rows, with as many
     trees as the last fold kept. Folds are independent jobs on one cached frame, submitted
-    ``parallelism`` at a time.
+    ``parallelism`` at a time. Folds of a linear model are scored from ``moments``, which are gathered
+    in one pass if they are not given; given moments leave the model out.
     """
+    if candidate.penalty:
+        return _walk_forward_linear(frame, candidate, spec, k, params, folds, refit_all, moments)
     require_checkpoint_dir(frame.sparkSession)
     data = training_columns(frame, spec)
     folds = folds or collect_folds(data, spec, k)
@@ -164,6 +180,29 @@ def walk_forward(
     return Trained(candidate, {**candidate.base, **(params or {})}, model, rmse, scores)
 
 
+def _walk_forward_linear(
+    frame: DataFrame,
+    candidate: Candidate,
+    spec: SeriesSpec,
+    k: int,
+    params: dict[str, Any] | None,
+    folds: list[dict[str, Any]] | None,
+    refit_all: bool,
+    moments: FoldMoments | None,
+) -> Trained:
+    settings = {**candidate.base, **(params or {})}
+    model = None
+    if moments is None:
+        data = training_columns(frame, spec)
+        folds = folds or collect_folds(data, spec, k)
+        moments = fold_moments(data, spec.feature_names, spec, folds)
+        last = data if refit_all else data.where(F.col(spec.time_col) <= ntz(folds[-1]["train_end"]))
+        model = candidate.build(spec, params).fit(last)
+    scores = moments.scores(settings[candidate.penalty])
+    rmse = sum(score["rmse"] for score in scores) / len(scores)
+    return Trained(candidate, settings, model, rmse, scores)
+
+
 def select_model(
     frame: DataFrame,
     spec: SeriesSpec,
@@ -196,9 +235,13 @@ def tune(
     untuned_rmse: float | None = None,
 ) -> tuple[Trained, list[Trained]]:
     """Seeded random search; the best trial is refitted and adopted, even if no better than before."""
-    folds = collect_folds(training_columns(frame, spec), spec, k)
+    data = training_columns(frame, spec)
+    folds = collect_folds(data, spec, k)
+    moments = fold_moments(data, spec.feature_names, spec, folds) if candidate.penalty else None
     trials = [
-        walk_forward(frame, candidate, spec, params=params, folds=folds, parallelism=parallelism)
+        walk_forward(
+            frame, candidate, spec, params=params, folds=folds, parallelism=parallelism, moments=moments
+        )
         for params in draw_params(candidate, n_trials, seed)
     ]
     best = min(trials, key=lambda t: t.rmse)

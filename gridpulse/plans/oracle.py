@@ -16,6 +16,8 @@ from gridpulse.plans.queries import (
     ONE_SERIES,
     OVERLAP,
     QUANTILE,
+    RIDGE_FEATURES,
+    RIDGE_PENALTIES,
     TEST_SIZE,
     TRAINED,
 )
@@ -166,6 +168,12 @@ CTES: dict[str, str] = {
         SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS i, count(*) OVER () AS n
         FROM (SELECT DISTINCT ts FROM one)""",
 }
+CTES["type_grid"] = _dense("types")
+CTES["type_dense"] = _filled("type_grid")
+CTES["type_lagged"] = _lagged("type_dense")
+CTES["type_frame"] = _features("type_lagged", rounded=False)
+CTES["type_numbered"] = CTES["numbered"].replace("groups", "type_frame")
+CTES["type_folds"] = CTES["folds"].replace("numbered", "type_numbered")
 CTES["one_folds"] = CTES["folds"].replace("numbered", "one_numbered")
 
 
@@ -194,6 +202,48 @@ def _scores(y: str, yhat: str) -> str:
         CASE WHEN {unanswered} = 0 THEN round(sqrt(avg(({y} - {yhat}) ** 2)), 4) END AS rmse"""
 
 
+def _ridge() -> str:
+    """Normal equations of each fold and penalty, solved by elimination row by row, and their scores."""
+    columns = RIDGE_FEATURES
+    p = len(columns)
+
+    def cell(i: int, j: int) -> str:
+        other = columns[j] if j < p else "y"
+        ridge = " + penalty * count(*)" if i == j else ""
+        return f"covar_pop({columns[i]}, {other}) * count(*){ridge}"
+
+    matrix = ", ".join("[" + ", ".join(cell(i, j) for j in range(p + 1)) + "]" for i in range(p))
+    means = ", ".join(f"avg({c})" for c in columns)
+    penalties = ", ".join(f"{v}::DOUBLE" for v in RIDGE_PENALTIES)
+    fitted = " + ".join(f"m[{i + 1}][{p + 1}] * {c}" for i, c in enumerate(columns))
+    centre = " + ".join(f"m[{i + 1}][{p + 1}] * means[{i + 1}]" for i in range(p))
+    return _with(
+        "hourly types type_grid type_dense type_lagged type_frame type_numbered type_folds",
+        f"""
+        SELECT e.penalty, CAST(e.fold AS INTEGER) AS fold, e.train_end, e.fold_end, e.n_train, {_scores("y", "yhat")}
+        FROM (
+            SELECT s.*, f.y, s.mean_y - ({centre}) + ({fitted}) AS yhat
+            FROM solved s JOIN type_frame f ON f.ts > s.train_end AND f.ts <= s.fold_end
+            WHERE s.k = {p}
+        ) e GROUP BY ALL""",
+        f"""sums AS (
+            SELECT penalty, fold, train_end, fold_end, count(*) AS n_train, [{matrix}] AS m, [{means}] AS means, avg(y) AS mean_y
+            FROM type_frame JOIN type_folds ON ts <= train_end, (SELECT unnest([{penalties}]) AS penalty)
+            GROUP BY penalty, fold, train_end, fold_end
+        ),
+        solved AS (
+            SELECT *, 0 AS k FROM sums
+            UNION ALL
+            SELECT penalty, fold, train_end, fold_end, n_train,
+                   list_transform(range(1, {p + 1}), lambda i: CASE WHEN i = k + 1
+                       THEN list_transform(m[i], lambda x: x / m[i][i])
+                       ELSE list_transform(range(1, {p + 2}), lambda j: m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END),
+                   means, mean_y, k + 1
+            FROM solved WHERE k < {p}
+        )""",
+    )
+
+
 _BACKTEST = f"""
 origins AS (
     SELECT o.series, n.n AS horizon, o.split, arg_max(f.y, f.ts) AS naive_forecast, max(f.ts) AS origin
@@ -380,6 +430,7 @@ def oracle_queries() -> dict[str, str]:
             _features("days_lagged", rounded=True, spec=DAILY),
         ),
         "holdout_split": _with(DENSE + " flagged", "SELECT series, ts, y, is_test FROM flagged"),
+        "walk_forward_ridge": _ridge(),
         "fold_boundaries": _with(
             "group_hourly groups numbered folds",
             "SELECT CAST(fold AS INTEGER) AS fold, train_end, fold_end FROM folds",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.timegrid import ntz, shift
 from gridpulse.operators import analysis, backfill, evaluate, features, forecast, modeling
-from gridpulse.operators import prepare, quality, split, upsert
+from gridpulse.operators import prepare, quality, ridge, split, upsert
 from gridpulse.sources import panels
 from gridpulse.sources.panels import DAILY, PANEL
 from gridpulse.spec import SeriesSpec
@@ -29,6 +29,8 @@ FOLDS = 5
 BINS = 16
 QUANTILE = 0.5
 ONE_SERIES = "click"
+RIDGE_FEATURES = ["lag_1", "lag_24", "avg_4_lags", "sine_hour"]
+RIDGE_PENALTIES = [0.0, 0.5, 2000.0]
 LINEAGE_PARAMS = {"test_size": TEST_SIZE, "kind": "persistence"}
 
 REGISTRY: dict[str, Query] = {}
@@ -410,6 +412,24 @@ def walk_forward_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame.unpersist()
 
 
+@registered
+def walk_forward_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all folds and several penalties from one pass over the rows."""
+    frame = type_frame(spark, sf_dir)
+    folds = modeling.collect_folds(frame, PANEL, FOLDS)
+    moments = ridge.fold_moments(frame, RIDGE_FEATURES, PANEL, folds)
+    rows = [
+        (penalty, s["fold"], s["train_end"], s["fold_end"], train.n, s["r2"], s["rmse"])
+        for penalty in RIDGE_PENALTIES
+        for s, train in zip(moments.scores(penalty), moments.train, strict=True)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "penalty DOUBLE, fold INT, train_end TIMESTAMP_NTZ, fold_end TIMESTAMP_NTZ, n_train BIGINT, "
+        "r2 DOUBLE, rmse DOUBLE",
+    )
+
+
 @registered
 def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = training_frame(spark, sf_dir)
