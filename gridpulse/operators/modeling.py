@@ -198,7 +198,7 @@ def _walk_forward_linear(
         moments = fold_moments(data, spec.feature_names, spec, folds)
         last = data if refit_all else data.where(F.col(spec.time_col) <= ntz(folds[-1]["train_end"]))
         model = candidate.build(spec, params).fit(last)
-    scores = moments.scores(settings[candidate.penalty])
+    scores = moments.scores(settings[candidate.penalty], by_spread=True)
     rmse = sum(score["rmse"] for score in scores) / len(scores)
     return Trained(candidate, settings, model, rmse, scores)
 

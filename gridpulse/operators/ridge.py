@@ -63,6 +63,10 @@ class Moments:
             self.products + other.products + np.outer(apart, apart) * (self.n * other.n / n),
         )
 
+    def spread(self) -> float:
+        """Standard deviation of the label."""
+        return float((self.products[-1, -1] / self.n) ** 0.5) if self.n else 0.0
+
     def fit(self, penalty: float) -> tuple[np.ndarray, float]:
         """Weights and intercept that minimise the mean squared error plus ``penalty`` times the squared weights.
 
@@ -91,10 +95,17 @@ class FoldMoments:
     train: list[Moments]
     validation: list[Moments]
 
-    def scores(self, penalty: float) -> list[dict[str, Any]]:
-        """Each fold's bounds, R² and RMSE with a model fitted on its train part."""
-        parts = zip(self.folds, self.train, self.validation, strict=True)
-        return [{**bounds, **valid.scores(*train.fit(penalty))} for bounds, train, valid in parts]
+    def scores(self, penalty: float, by_spread: bool = False) -> list[dict[str, Any]]:
+        """Each fold's bounds, R² and RMSE with a model fitted on its train part.
+
+        ``by_spread`` divides the penalty by the deviation of the part's labels, as Spark's linear
+        regression does, which fits scaled labels.
+        """
+        out = []
+        for bounds, train, valid in zip(self.folds, self.train, self.validation, strict=True):
+            own = penalty / (train.spread() or 1.0) if by_spread else penalty
+            out.append({**bounds, **valid.scores(*train.fit(own))})
+        return out
 
 
 def segment_moments(
@@ -118,7 +129,7 @@ def segment_moments(
             values = values[whole]
             for s in np.unique(segments).tolist():
                 found[s] = found.get(s, Moments.none(width)) + Moments.of(values[segments == s])
-        yield table(found).to_batches()[0]
+        yield from table(found).to_batches()
 
     def table(found: dict[int, Moments]) -> pa.Table:
         return pa.table(
