@@ -13,6 +13,8 @@ from gridpulse.plans.queries import (
     CUT,
     FOLDS,
     HORIZON,
+    NEAR_FEATURES,
+    NEIGHBOURS,
     ONE_SERIES,
     OVERLAP,
     QUANTILE,
@@ -172,6 +174,7 @@ CTES["type_grid"] = _dense("types")
 CTES["type_dense"] = _filled("type_grid")
 CTES["type_lagged"] = _lagged("type_dense")
 CTES["type_frame"] = _features("type_lagged", rounded=False)
+CTES["near_frame"] = _features("type_lagged", rounded=True)
 CTES["type_numbered"] = CTES["numbered"].replace("groups", "type_frame")
 CTES["type_folds"] = CTES["folds"].replace("numbered", "type_numbered")
 CTES["one_folds"] = CTES["folds"].replace("numbered", "one_numbered")
@@ -202,6 +205,49 @@ def _scores(y: str, yhat: str) -> str:
         CASE WHEN {unanswered} = 0 THEN round(sqrt(avg(({y} - {yhat}) ** 2)), 4) END AS rmse"""
 
 
+def _digamma(n: str) -> str:
+    first = " - ".join(f"1.0::DOUBLE / ({n} + {i})" for i in range(6))
+    x = f"({n} + 6)::DOUBLE"
+    return f"(ln({x}) - 1 / (2 * {x}) - 1 / (12 * {x} ** 2) + 1 / (120 * {x} ** 4) - 1 / (252 * {x} ** 6) - {first})"
+
+
+def _near() -> str:
+    """Every row against every other one of its feature, on the grid of the operator."""
+    grid = 1 << 20
+    each = " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS feature, CAST({c} AS DOUBLE) AS x, y FROM near_frame" for i, c in enumerate(NEAR_FEATURES)
+    )
+    return _with(
+        "hourly types type_grid type_dense type_lagged near_frame",
+        """
+        SELECT CAST(position AS INTEGER) AS position, feature, round(mi, 8) AS mi,
+               round((mi - min(mi) OVER ()) / nullif(max(mi) OVER () - min(mi) OVER (), 0), 8) AS score
+        FROM (SELECT position, feature, round(greatest(0, {all_} + sum({kth} - {near_x} - {near_y}) / count(*)), 10) AS mi
+              FROM near GROUP BY position, feature)""".format(
+            all_=_digamma("count(*)"), kth=_digamma("kth"), near_x=_digamma("nx"), near_y=_digamma("ny")
+        ),
+        f"""given AS ({each}),
+        placed AS (
+            SELECT position, feature, row_number() OVER () AS id,
+                   CAST(floor(x / stddev_pop(x) OVER (PARTITION BY position) * {grid} + 0.5) AS BIGINT) AS x,
+                   CAST(floor(y / stddev_pop(y) OVER (PARTITION BY position) * {grid} + 0.5) AS BIGINT) AS y
+            FROM given
+        ),
+        reach AS (
+            SELECT a.position, a.id, min(greatest(abs(a.x - b.x), abs(a.y - b.y)), {NEIGHBOURS})[{NEIGHBOURS}] AS eps
+            FROM placed a JOIN placed b ON a.position = b.position AND a.id <> b.id GROUP BY ALL
+        ),
+        near AS (
+            SELECT a.position, a.feature, a.id,
+                   CASE WHEN eps > 0 THEN {NEIGHBOURS} ELSE count(*) FILTER (a.x = b.x AND a.y = b.y) - 1 END AS kth,
+                   count(*) FILTER (abs(a.x - b.x) < greatest(eps, 1)) AS nx,
+                   count(*) FILTER (abs(a.y - b.y) < greatest(eps, 1)) AS ny
+            FROM placed a JOIN reach r ON r.id = a.id JOIN placed b ON a.position = b.position
+            GROUP BY a.position, a.feature, a.id, eps
+        )""",
+    )
+
+
 def _ridge() -> str:
     """Normal equations of each fold and penalty, solved by elimination row by row, and their scores."""
     columns = RIDGE_FEATURES
@@ -430,6 +476,7 @@ def oracle_queries() -> dict[str, str]:
             _features("days_lagged", rounded=True, spec=DAILY),
         ),
         "holdout_split": _with(DENSE + " flagged", "SELECT series, ts, y, is_test FROM flagged"),
+        "neighbour_information": _near(),
         "walk_forward_ridge": _ridge(),
         "fold_boundaries": _with(
             "group_hourly groups numbered folds",

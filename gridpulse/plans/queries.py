@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.timegrid import ntz, shift
 from gridpulse.operators import analysis, backfill, evaluate, features, forecast, modeling
-from gridpulse.operators import prepare, quality, ridge, split, upsert
+from gridpulse.operators import neighbours, prepare, quality, ridge, split, upsert
 from gridpulse.sources import panels
 from gridpulse.sources.panels import DAILY, PANEL
 from gridpulse.spec import SeriesSpec
@@ -29,6 +29,8 @@ FOLDS = 5
 BINS = 16
 QUANTILE = 0.5
 ONE_SERIES = "click"
+NEAR_FEATURES = ["lag_1", "lag_24", "avg_8_lags", "sine_hour", "is_night"]
+NEIGHBOURS = 3
 RIDGE_FEATURES = ["lag_1", "lag_24", "avg_4_lags", "sine_hour"]
 RIDGE_PENALTIES = [0.0, 0.5, 2000.0]
 LINEAGE_PARAMS = {"test_size": TEST_SIZE, "kind": "persistence"}
@@ -395,6 +397,14 @@ def selected_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.selected_features(scores, QUANTILE).withColumn("score", F.round("score", 8))
 
 
+@registered
+def neighbour_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest-neighbour mutual information with the demand of the same hour, over all rows of the frame."""
+    frame = rounded_means(type_frame(spark, sf_dir))
+    scores = neighbours.neighbour_information(frame, NEAR_FEATURES, "y", NEIGHBOURS)
+    return scores.withColumns({c: F.round(c, 8) for c in ("mi", "score")})
+
+
 # --- models -------------------------------------------------------------------------------------
 
 
