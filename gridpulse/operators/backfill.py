@@ -28,16 +28,19 @@ def missing_forecasts(
     spec: SeriesSpec,
     lookback: timedelta | None = None,
     all_history: bool = False,
+    coverage: DataFrame | None = None,
 ) -> DataFrame:
     """Keys observed in the trailing look-back, inside forecast coverage, without a known forecast.
 
-    A stored forecast that is null counts as missing. ``all_history`` drops the look-back bound.
+    A stored forecast that is null counts as missing. ``all_history`` drops the look-back bound. With a
+    known ``coverage`` (as :func:`forecast_coverage`), ``forecasts`` may be only those of the look-back.
     """
     ts = F.col(spec.time_col)
     observed = processed.select(*spec.key)
     if not all_history:
         observed = trailing_window(observed, spec, lookback)
-    covered = attach_per_series(observed, forecast_coverage(forecasts, spec), spec).where(
+    coverage = forecast_coverage(forecasts, spec) if coverage is None else coverage
+    covered = attach_per_series(observed, coverage, spec).where(
         ts.between(F.col("first_forecast"), F.col("last_forecast"))
     )
     known = forecasts.where(F.col("forecast").isNotNull()).select(*spec.key)

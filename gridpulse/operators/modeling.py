@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -20,7 +21,8 @@ from gridpulse.functions.timegrid import ntz, shift
 from gridpulse.operators.evaluate import evaluation_metrics
 from gridpulse.operators.ridge import FoldMoments, fold_moments
 from gridpulse.operators.split import fold_boundaries
-from gridpulse.sources.tables import append_plain, table_exists
+from gridpulse.sources.manifest import Manifest
+from gridpulse.sources.tables import append_plain
 from gridpulse.spec import LINEAGE_SCHEMA, SeriesSpec
 
 VECTOR = "_features"
@@ -307,11 +309,29 @@ def lineage_newest_first(lineage: DataFrame) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Store a model beside earlier ones and make it the current one at once.
+
+    A reader finds the model before or this one, whole; the two newest are kept.
+    """
+    manifest = Manifest(SparkSession.getActiveSession(), path)
+    version = manifest.latest()
+    name = uuid.uuid4().hex
+    model.write().save(f"{path}/models/{name}")
+    manifest.publish(version, {"model": name})
+    manifest.forget(2)
+    named = {manifest.read(v)["model"] for v in manifest.versions()}
+    for old in set(manifest.children("models")) - named:
+        manifest.remove(f"models/{old}")
+
+
+def model_exists(spark: SparkSession, path: str) -> bool:
+    return Manifest(spark, path).latest() > 0
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """The current model."""
+    manifest = Manifest(SparkSession.getActiveSession(), path)
+    return PipelineModel.load(f"{path}/models/{manifest.read(manifest.latest())['model']}")
 
 
 def train_and_record(
@@ -354,7 +374,7 @@ def train_and_record(
 
 def get_or_build_model(frame: DataFrame, spec: SeriesSpec, model_path: str, **training: Any) -> PipelineModel:
     """Load the stored model; train and store one if there is none."""
-    if table_exists(frame.sparkSession, model_path):
+    if model_exists(frame.sparkSession, model_path):
         return load_model(model_path)
     return train_and_record(frame, spec, model_path, **training)
 

@@ -642,6 +642,7 @@ def oracle_queries() -> dict[str, str]:
             FROM dated JOIN scored USING (series) ORDER BY when_trained DESC, series""",
         ),
     }
+    sql["versioned_ingest"] = sql["incremental_ingest"]
     return {name: " ".join(text.split()) for name, text in sql.items()}
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -13,6 +14,8 @@ from gridpulse.operators import analysis, backfill, evaluate, features, forecast
 from gridpulse.operators import neighbours, prepare, quality, ridge, split, upsert
 from gridpulse.sources import panels
 from gridpulse.sources.panels import DAILY, PANEL
+from gridpulse.sources.tables import shared_folder
+from gridpulse.sources.versioned import VersionedTable, append_batches
 from gridpulse.spec import SeriesSpec
 from gridpulse.streaming.ingest import fresh_rows
 
@@ -322,6 +325,22 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.unionByName(fresh_rows(second, stored, PANEL))
 
 
+@registered
+def versioned_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batches as commits of a versioned table, one of them delivered twice, then compacted."""
+    readings = panels.hourly_group_readings(spark, sf_dir)
+    table = VersionedTable(spark, f"{shared_folder(spark)}/versioned-{uuid.uuid4().hex}", PANEL)
+
+    def fresh(batch: DataFrame, watermarks: DataFrame) -> DataFrame:
+        return upsert.new_rows_above_watermark(prepare.dedup_keep_first(batch, PANEL), watermarks, PANEL)
+
+    take = append_batches(table, "readings", fresh)
+    take(readings.where(F.col("ts") <= ntz(CUT)), 0)
+    for _ in range(2):
+        take(readings.where(F.col("ts") >= ntz(OVERLAP)), 1)
+    return table.read(table.compact())
+
+
 @registered
 def forecast_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfill.forecast_coverage(stored_forecasts(spark, sf_dir), PANEL)

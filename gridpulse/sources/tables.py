@@ -67,12 +67,8 @@ def append_plain(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably in the session's checkpoint folder.
-
-    The folder is ``spark.checkpoint.dir``. Only a local session without it gets a temporary one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Only a local session without it gets a temporary one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -81,4 +77,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="gridpulse-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir().rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` reliably in the session's checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -117,7 +117,7 @@ def test_walk_forward(spark):
 
 
 def test_ties_keep_the_first_candidate_and_draws_are_seeded(monkeypatch):
-    boosted, forest = modeling.default_candidates()
+    boosted, forest, _ = modeling.default_candidates()
     assert modeling.draw_params(boosted, 3, 5) == modeling.draw_params(boosted, 3, 5)
     for params in modeling.draw_params(boosted, 50, 0):
         assert 100 <= params["maxIter"] < 500 and 3 <= params["maxDepth"] < 10
