@@ -12,6 +12,8 @@ tokens are those of its runs. Null text counts as empty: 0 bytes, 0 tokens, not
 from __future__ import annotations
 
 import functools
+import itertools
+import os
 from bisect import bisect_right
 
 import pyarrow as pa
@@ -23,13 +25,17 @@ from gridpulse.llm.common import pick
 from gridpulse.llm.wordbpe import SPACES, split_words
 
 VOCABULARY = "word_bpe_49k.json"
+#: Short texts whose new runs are counted in one call.
+GROUP = 256
 RUNS = regex.compile(r"\S+")
 
 
 class LibraryCounter:
-    """Counts and offsets from the tokenizers library, with a bounded memo of runs."""
+    """Counts and offsets from the tokenizers library, with bounded memos of runs and of their words."""
 
-    def __init__(self, path: str, memo_words: int = 400_000):
+    def __init__(self, path: str, memo_words: int = 600_000):
+        # One thread: a task has one core.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -37,20 +43,43 @@ class LibraryCounter:
         self.tokenizer.no_padding()
         self.memo_words = memo_words
         self.counts: dict[str, int] = {}
+        self.words: dict[str, int] = {}
         self.ends: dict[str, tuple[int, ...]] = {}
 
-    def count(self, text: str) -> int:
-        """Tokens of one chunk."""
-        runs = split_words(text)
-        counts = self.counts
-        new = list(set(runs).difference(counts))
-        if new:
-            if len(counts) + len(new) > self.memo_words:
-                counts.clear()
-                new = list(set(runs))
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            counts.update(zip(new, map(len, found), strict=True))
-        return sum(map(counts.__getitem__, runs))
+    def counts_of(self, texts: list[str]) -> list[int]:
+        """Tokens of each text; what is new in any of them goes to the library in one call."""
+        runs = [split_words(text) for text in texts]
+        found = list(map(self.counts.get, itertools.chain.from_iterable(runs)))
+        if None in found:
+            every = itertools.chain.from_iterable(runs)
+            new = {run for run, count in zip(every, found, strict=True) if count is None}
+            learned = self._learn(new)
+            every = itertools.chain.from_iterable(runs)
+            found = [learned[run] if count is None else count for run, count in zip(every, found, strict=True)]
+            self.counts.update(learned)
+            halve(self.counts, self.memo_words)
+        sums = list(itertools.accumulate(found, initial=0))
+        ends = list(itertools.accumulate(map(len, runs), initial=0))
+        return [sums[end] - sums[begin] for begin, end in itertools.pairwise(ends)]
+
+    def _learn(self, runs: set[str]) -> dict[str, int]:
+        """Tokens of new runs. Letters and one ASCII mark behind them are counted apart.
+
+        The vocabulary's pattern always cuts there, and a mark of ASCII joins no letter before it.
+        """
+        cut = {}
+        for run in runs:
+            word, mark = run[:-1], run[-1]
+            apart = mark.isascii() and not mark.isalnum() and word.isalpha()
+            word, mark = (word, mark) if apart else (run, "")
+            cut[run] = (word.lower() if word.isascii() and word.isalpha() else word, mark)
+        new = list({part for parts in cut.values() for part in parts if part}.difference(self.words))
+        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.words.update(zip(new, map(len, coded), strict=True))
+        self.words[""] = 0
+        learned = {run: self.words[word] + self.words[mark] for run, (word, mark) in cut.items()}
+        halve(self.words, self.memo_words)
+        return learned
 
     def boundaries(self, text: str, start: int, end: int) -> list[int]:
         """Ends of the tokens of ``text[start:end]`` as offsets in ``text``, one entry a token."""
@@ -65,6 +94,13 @@ class LibraryCounter:
         return [at + e for at, run in runs for e in self.ends[run]]
 
 
+def halve(memo: dict, most: int) -> None:
+    """Forget the older half of a memo that has grown beyond its bound."""
+    if len(memo) > most:
+        for key in list(itertools.islice(memo, len(memo) // 2)):
+            del memo[key]
+
+
 def splice_point(text: str, left: list[int], right: list[int], begin: int, end: int) -> int | None:
     """The last white space of the overlap ``[begin, end)`` if both chunks cut alike up to it, or None.
 
@@ -128,11 +164,13 @@ def token_counts(
     def run(batches):
         counter = library_counter(path)
         for batch in batches:
-            sizes, counts = [], []
-            for value in batch.column("text"):
-                text = value.as_py() or ""
-                sizes.append(len(text) if text.isascii() else len(text.encode()))
-                counts.append(counter.count(text) if len(text) <= chunk else count_long(counter, text, chunk, overlap))
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            sizes = [len(text) if text.isascii() else len(text.encode()) for text in texts]
+            counts = [0 if len(text) <= chunk else count_long(counter, text, chunk, overlap) for text in texts]
+            short = [i for i, text in enumerate(texts) if len(text) <= chunk]
+            for some in itertools.batched(short, GROUP):
+                for i, count in zip(some, counter.counts_of([texts[i] for i in some]), strict=True):
+                    counts[i] = count
             columns = [
                 batch.column("id"),
                 pa.array(sizes, pa.int64()),
