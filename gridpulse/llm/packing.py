@@ -103,29 +103,71 @@ def _exchange(giver: list[int], taker: list[int], room: int, lengths: list[int])
     return found
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Exchanges between underfull bins, from the emptier to the fuller, until none helps or the bound is met."""
-    needed = -(-sum(lengths) // capacity)
+def least_bins(lengths: list[int], capacity: int) -> int:
+    """Bins that any packing needs: by total length, and by items too long to share a bin with others.
+
+    For each length k up to half a bin, items over ``capacity - k`` fill a bin for all that k or more is
+    left in; items over half a bin have one each, and what is left there is all that the others of k or
+    more can use without a new bin.
+    """
+    sizes = np.sort(np.asarray(lengths, np.int64))
+    if not len(sizes):
+        return 0
+    total = np.r_[0, np.cumsum(sizes)]
+    half = np.searchsorted(sizes, capacity // 2, "right")
+    ks = np.unique(sizes[:half])
+    ks = np.r_[ks[ks > 0], capacity // 2 + 1]
+    whole = np.searchsorted(sizes, capacity - ks, "right")
+    begin = np.minimum(np.searchsorted(sizes, ks), half)
+    middle = np.maximum(whole - half, 0)
+    room = middle * capacity - (total[np.maximum(whole, half)] - total[half])
+    rest = np.maximum(0, total[half] - total[begin] - room)
+    bound = len(sizes) - np.maximum(whole, half) + middle + -(-rest // capacity)
+    return int(max(bound.max(), -(-int(total[-1]) // capacity)))
+
+
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int, tries: int = 64) -> list[list[int]]:
+    """Exchanges between underfull bins, from the emptier to the fuller, until none helps or the bound is met.
+
+    Bins with the same lengths are alike: a pair of kinds that has no exchange is not tried again. The
+    search also ends after ``tries`` attempts a bin.
+    """
+    needed = least_bins(lengths, capacity)
     fill = [sum(lengths[i] for i in b) for b in bins]
-    moved = True
-    while moved and sum(1 for b in bins if b) > needed:
+    kind = [tuple(sorted(lengths[i] for i in b)) for b in bins]
+    used, left, moved = len(bins), tries * len(bins), True
+    hopeless: set[tuple] = set()
+    while moved and used > needed and left > 0:
         moved = False
         under = sorted((b for b in range(len(bins)) if 0 < fill[b] < capacity), key=lambda b: fill[b])
+        alike: dict[tuple, set[int]] = {}
+        for b in reversed(under):
+            alike.setdefault(kind[b], set()).add(b)
+        kinds = list(alike)
         for giver in under:
-            for taker in reversed(under):
-                if not bins[giver] or fill[taker] < fill[giver] or taker == giver:
+            for other in kinds:
+                if not bins[giver] or sum(other) < fill[giver] or left <= 0 or used <= needed:
                     break
-                if fill[taker] == capacity:
+                if (kind[giver], other) in hopeless:
                     continue
+                taker = next((b for b in alike[other] if b != giver), None)
+                if taker is None:
+                    continue
+                left -= 1
                 found = _exchange(bins[giver], bins[taker], capacity - fill[taker], lengths)
                 if found is None:
+                    hopeless.add((kind[giver], other))
                     continue
                 give, back = found
-                bins[giver] = [i for i in bins[giver] if i not in give] + back
-                bins[taker] = [i for i in bins[taker] if i not in back] + give
                 gain = sum(lengths[i] for i in give) - sum(lengths[i] for i in back)
-                fill[giver] -= gain
-                fill[taker] += gain
+                for b, out, come in ((giver, give, back), (taker, back, give)):
+                    alike[kind[b]].discard(b)
+                    bins[b] = [i for i in bins[b] if i not in out] + come
+                    kind[b] = tuple(sorted(lengths[i] for i in bins[b]))
+                    fill[b] += gain if b == taker else -gain
+                    if 0 < fill[b] < capacity:
+                        alike.setdefault(kind[b], set()).add(b)
+                used -= not bins[giver]
                 moved = True
     return [b for b in bins if b]
 

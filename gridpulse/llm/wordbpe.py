@@ -212,8 +212,18 @@ class WordCodec:
         return out + (self._cut(run[at:]) if at < len(run) else [])
 
     def _learn(self, runs: Iterable[str]) -> None:
-        cut = {run: self._sections(run) for run in runs}
-        new = list({p for parts in cut.values() for p in parts if isinstance(p, str)}.difference(self.parts))
+        # Most runs are letters of ASCII, or those and one mark; they need no pattern and no lists.
+        plain, marked, cut = {}, {}, {}
+        for run in runs:
+            if run.isascii() and run.isalpha():
+                plain[run] = run.lower()
+            elif run.isascii() and run[:-1].isalpha() and run[-1] != "<":
+                marked[run] = run[:-1].lower(), run[-1]
+            else:
+                cut[run] = self._sections(run)
+        new = {p for parts in cut.values() for p in parts if isinstance(p, str)}
+        new.update(plain.values(), itertools.chain.from_iterable(marked.values()))
+        new = list(new.difference(self.parts))
         coded = [p.encode() for p in new]
         fits = [i for i, c in enumerate(coded) if len(c) <= 48]
         self.parts.update(zip([new[i] for i in fits], self._merge_batch([coded[i] for i in fits]), strict=True))
@@ -221,7 +231,10 @@ class WordCodec:
             if len(c) > 48:
                 self.parts[part] = array("I", self.transduce(c)).tobytes()
         code = lambda p: self.parts[p] if isinstance(p, str) else array("I", [p]).tobytes()
-        self.words.update((run, b"".join(map(code, parts))) for run, parts in cut.items())
+        known = self.parts
+        self.words.update({run: known[word] for run, word in plain.items()})
+        self.words.update({run: known[word] + known[mark] for run, (word, mark) in marked.items()})
+        self.words.update({run: b"".join(map(code, parts)) for run, parts in cut.items()})
 
     def encode_all(self, texts: Iterable[str], group: int = 1 << 20) -> Iterator[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit integers; ``group`` letters at a time."""
@@ -231,15 +244,20 @@ class WordCodec:
                 held.append(split_words(text))
                 size += len(text)
             if held and (text is None or size >= group):
-                new = set().union(*held).difference(self.words)
-                if len(self.words) + len(new) > self.memo_words:
-                    self.words.clear()
-                    new = set().union(*held)
-                if len(self.parts) > self.memo_words:
-                    self.parts.clear()
-                self._learn(new)
+                found = list(map(self.words.get, itertools.chain.from_iterable(held)))
+                if None in found:
+                    every = itertools.chain.from_iterable(held)
+                    self._learn({run for run, ids in zip(every, found, strict=True) if ids is None})
+                    every = itertools.chain.from_iterable(held)
+                    found = [self.words[run] if ids is None else ids for run, ids in zip(every, found, strict=True)]
+                for memo in (self.words, self.parts):
+                    if len(memo) > self.memo_words:
+                        # The older half goes; what is frequent soon comes back.
+                        for key in list(itertools.islice(memo, len(memo) // 2)):
+                            del memo[key]
+                found = iter(found)
                 for runs in held:
-                    yield b"".join(map(self.words.__getitem__, runs))
+                    yield b"".join(itertools.islice(found, len(runs)))
                 held, size = [], 0
 
     def encode(self, text: str) -> bytes:
