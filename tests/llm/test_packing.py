@@ -80,4 +80,5 @@ def test_checksums_and_number_of_sequences(spark):
             want[i, k] = (at, len(part), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in part)))
     got = packing.pack(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(5)).collect()
     assert {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in got} == want
-    assert len({r["sequence_id"] for r in got}) <= -(-total // 4096) + 1
+    assert sum(r["length"] for r in got) == total
+    assert len({r["sequence_id"] for r in got}) <= packing.least_bins([r["length"] for r in got], 4096) + 1
