@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gridpulse.operators.blocks import BLOCK, HALO, attach_per_series, with_preceding_rows
@@ -49,31 +46,38 @@ def autocorrelation_arrays(
 
 
 def partial_from_acf(acf: Column) -> Column:
-    """Partial autocorrelations of an ``acf`` array, by the Durbin-Levinson recursion.
+    """Partial autocorrelations of an ``acf`` array, by the Durbin-Levinson recursion over its lags.
 
-    Works on one short array per series, a batch of series at a time.
+    The state has the coefficients of the lags so far, the variance they leave, and the results. What
+    follows a lag that leaves no variance is null.
     """
-
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def recursion(arrays: pd.Series) -> pd.Series:
-        with np.errstate(invalid="ignore", divide="ignore"):
-            r = np.array([[np.nan if v is None else v for v in a] for a in arrays], dtype=float)
-            r = r.reshape(len(arrays), -1)
-            series, width = r.shape
-            partial = np.ones((series, width))
-            phi = np.zeros((series, width))
-            left = np.ones(series)
-            for k in range(1, width):
-                explained = (phi[:, 1:k] * r[:, k - 1 : 0 : -1]).sum(axis=1)
-                new = (r[:, k] - explained) / left
-                phi[:, 1:k] = phi[:, 1:k] - new[:, None] * phi[:, k - 1 : 0 : -1]
-                phi[:, k] = new
-                partial[:, k] = new
-                left = left * (1 - new**2)
-        unknown = np.isnan(r[:, 0])
-        return pd.Series([None if u else list(p) for u, p in zip(unknown, partial, strict=True)])
-
-    return recursion(acf)
+    state = "struct<phi: array<double>, left: double, partial: array<double>>"
+    start = F.struct(
+        F.array().cast("array<double>").alias("phi"), F.lit(1.0).alias("left"), F.array(F.lit(1.0)).alias("partial")
+    ).cast(state)
+
+    def next_lag(done: Column, k: Column) -> Column:
+        phi = done["phi"]
+        latest_first = F.reverse(F.slice(acf, F.lit(2), k - 1))
+        explained = F.aggregate(
+            F.zip_with(phi, latest_first, lambda a, b: a * b), F.lit(0.0), lambda total, term: total + term
+        )
+        new = F.try_divide(F.get(acf, k) - explained, done["left"])
+
+        def extended(value: Column) -> Column:
+            return F.struct(
+                F.concat(
+                    F.zip_with(phi, F.reverse(phi), lambda a, b: a - value * b), F.array(value)
+                ).alias("phi"),
+                (done["left"] * (1 - value * value)).alias("left"),
+                F.concat(done["partial"], F.array(value)).alias("partial"),
+            )
+
+        # One element, so that the new value is computed once and then only named.
+        return F.get(F.transform(F.array(new), extended), 0)
+
+    lags = F.filter(F.sequence(F.lit(0), F.size(acf) - 1), lambda k: k > 0)
+    return F.when(F.get(acf, 0).isNotNull(), F.aggregate(lags, start, next_lag)["partial"])
 
 
 def _one_row_per_lag(df: DataFrame, spec: SeriesSpec, arrays: list[str]) -> DataFrame:

@@ -21,6 +21,7 @@ from gridpulse.functions.timegrid import ntz, shift
 from gridpulse.operators.evaluate import evaluation_metrics
 from gridpulse.operators.ridge import FoldMoments, fold_moments
 from gridpulse.operators.split import fold_boundaries
+from gridpulse.operators.tuning import Range, search
 from gridpulse.sources.manifest import Manifest
 from gridpulse.sources.tables import append_plain
 from gridpulse.spec import LINEAGE_SCHEMA, SeriesSpec
@@ -33,7 +34,9 @@ VALIDATION = "_validation"
 class Candidate:
     """A kind of regressor, its fixed parameters and its search space.
 
-    ``penalty`` names the parameter of a linear model whose folds are scored from moments.
+    ``early_stopping`` lets Spark stop boosting; ``patience`` stops it in its place after so many rounds
+    without gain on the validation part. ``penalty`` names the parameter of a linear model whose folds
+    are scored from moments.
     """
 
     name: str
@@ -42,13 +45,14 @@ class Candidate:
     space: dict[str, Callable[[random.Random], Any]] = field(default_factory=dict)
     early_stopping: bool = False
     penalty: str | None = None
+    patience: int | None = None
 
     def build(
         self, spec: SeriesSpec, params: dict[str, Any] | None = None, validated: bool = True
     ) -> Pipeline:
         """``validated``: the rows flag a validation part, on which early stopping may look."""
         settings = {**self.base, **(params or {})}
-        if self.early_stopping and validated:
+        if self.early_stopping and validated and self.patience is None:
             settings["validationIndicatorCol"] = VALIDATION
         regressor = self.estimator(
             featuresCol=VECTOR, labelCol=spec.target_col, predictionCol="yhat", **settings
@@ -75,10 +79,10 @@ def default_candidates(seed: int = 0) -> list[Candidate]:
             estimator=GBTRegressor,
             base={"lossType": "squared", "maxIter": 100, "seed": seed, "cacheNodeIds": True},
             space={
-                "maxIter": lambda rng: rng.randrange(100, 500),
-                "maxDepth": lambda rng: rng.randrange(3, 10),
-                "stepSize": lambda rng: rng.uniform(0.01, 0.3),
-                "minInstancesPerNode": lambda rng: rng.randrange(5, 300),
+                "maxIter": Range(100, 500, whole=True),
+                "maxDepth": Range(3, 10, whole=True),
+                "stepSize": Range(0.01, 0.3),
+                "minInstancesPerNode": Range(5, 300, whole=True),
             },
             early_stopping=True,
         ),
@@ -87,16 +91,16 @@ def default_candidates(seed: int = 0) -> list[Candidate]:
             estimator=RandomForestRegressor,
             base={"numTrees": 100, "seed": seed, "cacheNodeIds": True},
             space={
-                "numTrees": lambda rng: rng.randrange(100, 500),
-                "maxDepth": lambda rng: rng.randrange(3, 10),
-                "minInstancesPerNode": lambda rng: rng.randrange(5, 300),
+                "numTrees": Range(100, 500, whole=True),
+                "maxDepth": Range(3, 10, whole=True),
+                "minInstancesPerNode": Range(5, 300, whole=True),
             },
         ),
         Candidate(
             name="LinearRegression",
             estimator=LinearRegression,
             base={"solver": "normal", "standardization": False, "regParam": 1.0},
-            space={"regParam": lambda rng: 10 ** rng.uniform(-3, 4)},
+            space={"regParam": Range(1e-3, 1e4, log=True)},
             penalty="regParam",
         ),
     ]
@@ -121,8 +125,41 @@ def training_columns(frame: DataFrame, spec: SeriesSpec) -> DataFrame:
     )
 
 
+def stopping_round(losses: list[float], patience: int) -> int:
+    """Rounds to keep: up to the least loss before ``patience`` rounds in a row brought no gain."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def staged_losses(model: PipelineModel, rows: DataFrame) -> list[float]:
+    """Mean squared error of a boosted model after each of its rounds, from one pass over ``rows``."""
+    assembled = model.stages[0].transform(rows)
+    return model.stages[-1].evaluateEachIteration(assembled, "squared")
+
+
+def fit_with_patience(
+    train: DataFrame, validation: DataFrame, pipeline: Pipeline, patience: int
+) -> tuple[PipelineModel, int]:
+    """A boosted model of the rounds that patience keeps, and their number.
+
+    All rounds are fitted once and scored in one pass. Boosting is seeded, so fitting again with fewer
+    rounds gives the first trees of the same model.
+    """
+    full = pipeline.fit(train)
+    kept = stopping_round(staged_losses(full, validation), patience)
+    if kept == full.stages[-1].getNumTrees:
+        return full, kept
+    assembler, regressor = pipeline.getStages()
+    return Pipeline(stages=[assembler, regressor.copy({regressor.maxIter: kept})]).fit(train), kept
+
+
 def _fit_fold(
-    frame: DataFrame, pipeline: Pipeline, spec: SeriesSpec, bounds: dict[str, Any]
+    frame: DataFrame, pipeline: Pipeline, spec: SeriesSpec, bounds: dict[str, Any], patience: int | None = None
 ) -> tuple[PipelineModel, dict[str, Any]]:
     ts = F.col(spec.time_col)
     train_end, fold_end = ntz(bounds["train_end"]), ntz(bounds["fold_end"])
@@ -131,7 +168,10 @@ def _fit_fold(
     stops_early = regressor.hasParam("validationIndicatorCol") and regressor.isDefined(
         "validationIndicatorCol"
     )
-    fitted = pipeline.fit(part if stops_early else part.where(~F.col(VALIDATION)))
+    if patience is None:
+        fitted = pipeline.fit(part if stops_early else part.where(~F.col(VALIDATION)))
+    else:
+        fitted, _ = fit_with_patience(part.where(~F.col(VALIDATION)), part.where(VALIDATION), pipeline, patience)
     scored = fitted.transform(part.where(VALIDATION))
     metrics = evaluation_metrics(scored, spec.target_col, "yhat").first()
     return fitted, {**bounds, "r2": metrics["r2"], "rmse": metrics["rmse"]}
@@ -171,11 +211,12 @@ def walk_forward(
     folds = folds or collect_folds(data, spec, k)
     pipeline = candidate.build(spec, params)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        fitted = list(pool.map(lambda bounds: _fit_fold(data, pipeline, spec, bounds), folds))
+        fitted = list(pool.map(lambda bounds: _fit_fold(data, pipeline, spec, bounds, candidate.patience), folds))
     model = fitted[-1][0]
     if refit_all:
         kept = getattr(model.stages[-1], "getNumTrees", None)
-        trees = {"maxIter": kept} if candidate.early_stopping and kept else {}
+        stops = candidate.early_stopping or candidate.patience is not None
+        trees = {"maxIter": kept} if stops and kept else {}
         model = candidate.build(spec, {**(params or {}), **trees}, validated=False).fit(data)
     scores = [score for _, score in fitted]
     rmse = sum(score["rmse"] for score in scores) / len(scores)
@@ -254,6 +295,40 @@ def tune(
     return final, trials
 
 
+def tune_adaptive(
+    frame: DataFrame,
+    candidate: Candidate,
+    spec: SeriesSpec,
+    n_trials: int = 20,
+    k: int = 5,
+    seed: int = 0,
+    per_round: int = 4,
+    parallelism: int = 4,
+    untuned_rmse: float | None = None,
+) -> tuple[Trained, list[Trained]]:
+    """As :func:`tune`, but each round of trials is proposed from what the rounds before found.
+
+    ``per_round`` trials run at the same time, each with its folds.
+    """
+    data = training_columns(frame, spec)
+    folds = collect_folds(data, spec, k)
+    moments = fold_moments(data, spec.feature_names, spec, folds) if candidate.penalty else None
+    done: dict[str, Trained] = {}
+
+    def loss(params: dict[str, Any]) -> float:
+        trial = walk_forward(
+            frame, candidate, spec, params=params, folds=folds, parallelism=parallelism, moments=moments
+        )
+        done[repr(params)] = trial
+        return trial.rmse
+
+    history = search(loss, candidate.space, n_trials, seed, per_round)
+    best, _ = min(history, key=lambda trial: trial[1])
+    final = walk_forward(frame, candidate, spec, params=best, folds=folds, parallelism=parallelism)
+    final.untuned_rmse = untuned_rmse
+    return final, [done[repr(params)] for params, _ in history]
+
+
 def scores_table(frame: DataFrame, trained: list[Trained]) -> DataFrame:
     """Fold scores of several training runs as a small table."""
     rows = [

@@ -485,6 +485,15 @@ def tuning_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame.unpersist()
 
 
+@registered
+def tuning_adaptive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds of ridge trials, each proposed from those before; one pass over the rows scores all."""
+    frame = type_frame(spark, sf_dir)
+    linear = next(c for c in modeling.default_candidates() if c.penalty)
+    _, trials = modeling.tune_adaptive(frame, linear, PANEL, n_trials=24, k=FOLDS, seed=7)
+    return modeling.scores_table(frame, trials)
+
+
 @registered
 def model_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = group_frame(spark, sf_dir).select(*PANEL.key)

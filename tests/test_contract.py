@@ -4,7 +4,7 @@ from check_oracle import compare, connect
 import __spark_entry__ as contract
 
 SF_DIR = "/root/testdata/sf0.001"
-MODELS = {"walk_forward_scores", "model_selection", "tuning_trials"}
+MODELS = {"walk_forward_scores", "model_selection", "tuning_trials", "tuning_adaptive"}
 
 
 def test_every_query_but_model_training_has_sql():
