@@ -8,27 +8,36 @@ itself, the search expands through all that is in range. Pairs found are verifie
 
 Tasks give each vector's number of links (a pair counts in the smallest shard that both share) and a
 spanning forest, so a group of copies costs rows in proportion to its size. An audit compares a bounded
-sample with all rows, by links, by vectors and by groups; while one of the three is below ``least_recall``
-the work is repeated with one more shard a vector, and after the widest overlap all cells that can hold a
-link are compared exactly. That is right on any table, but quadratic where vectors have no clusters.
-
-Vectors that are null, zero or hold a null or non-finite component link with nothing and are their own
-component; so is a null id. Rows that repeat an id and a vector count as links of each other. An empty
-table gives an empty result.
+sample with all rows, by links, by vectors and by groups. Half of the sample are planted vectors: copies of
+rows, moved at random to a cosine between ``least`` and 1, which go through shards, graph and search like
+rows but neither count as links nor join groups. So links are measured even where the rows have none: with
+512 planted vectors the standard error at a recall of 0.97 is under 0.8 points. While one of the recalls is
+below ``least_recall`` the work is repeated with one more shard a vector, and after the widest overlap all
+cells that can hold a link are compared exactly. That is right on any table, but quadratic where vectors
+have no clusters.
+
+Vectors of different lengths do not link. The most frequent length and each of over two shards of vectors
+are searched by their own graph, the few of any other length are compared with each other. Vectors that are
+null, zero or hold a null or non-finite component link with nothing and are their own component; so is a null
+id. Rows that repeat an id are rows of their own: with one vector they link, with two each has its vector's
+links. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import cut, hashed_share, pick
 from gridpulse.llm.components import connected_components
-from gridpulse.llm.vectors import matrix, sample, spherical_centres, stacked, unit, usable
+from gridpulse.llm.vectors import USABLE, lengths, matrix, sample, spherical_centres, stacked, unit
 
 SHARD = 1024
 DEGREE = 16
@@ -41,8 +50,9 @@ def with_class(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                x = matrix(batch.column("vec")) + 0.0
-                digests = pa.array([xxhash.xxh128_digest(row.tobytes()) for row in x], pa.binary())
+                flat = batch.column("vec").flatten().to_numpy(zero_copy_only=False) + 0.0
+                rows = np.split(flat, np.cumsum(pc.list_value_length(batch.column("vec")).to_numpy())[:-1])
+                digests = pa.array([xxhash.xxh128_digest(row.tobytes()) for row in rows], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns, digests], names=["id", "vec", "class"])
 
     return rows.select("id", "vec").mapInArrow(run, "id bigint, vec array<double>, class binary")
@@ -179,7 +189,10 @@ def shard_rows(reps: DataFrame, centres: np.ndarray, overlap: int) -> DataFrame:
 
 
 def linked(reps: DataFrame, centres: np.ndarray, overlap: int, least: float) -> DataFrame:
-    """(id, links, root) rows: parts of a vector's number of links, and the smallest id a task joins it with."""
+    """(id, links, root) rows: parts of a vector's number of links, and the smallest id a task joins it with.
+
+    A planted vector (``n`` = 0) gets the number of its links, but adds nothing to those of others.
+    """
     task = ["shard", "first", "second"]
     rows = cut(shard_rows(reps, centres, overlap))
 
@@ -216,7 +229,8 @@ def linked(reps: DataFrame, centres: np.ndarray, overlap: int, least: float) ->
         i, j = i[exact >= least], j[exact >= least]
         weight = part["n"].to_numpy().astype(float)
         degree = np.bincount(i, weight[j], n) + np.bincount(j, weight[i], n)
-        root = local_roots(i, j, n)
+        joined = (weight[i] > 0) & (weight[j] > 0)
+        root = local_roots(i[joined], j[joined], n)
         some = degree > 0
         return pd.DataFrame({"id": ids[some], "links": degree[some].astype(np.int64), "root": ids[root[some]]})
 
@@ -263,8 +277,8 @@ def exact_rows(reps: DataFrame, centres: np.ndarray, least: float) -> DataFrame:
     return rows.select("id", "vec", "n", "cell", first.alias("first"), second.alias("second"), (F.col("block") < F.col("other")).alias("half"))
 
 
-def exact_links(reps: DataFrame, centres: np.ndarray, least: float) -> DataFrame:
-    """The rows of ``linked``, complete: all vectors of cells that can hold a link are compared."""
+def all_links(tasks: DataFrame, least: float) -> DataFrame:
+    """The rows of ``linked`` from tasks (cell, first, second), in which all vectors are compared, but not two ``half`` ones."""
 
     def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("id", ignore_index=True)
@@ -286,17 +300,29 @@ def exact_links(reps: DataFrame, centres: np.ndarray, least: float) -> DataFrame
         some = degree > 0
         return pd.DataFrame({"id": ids[some], "links": degree[some].astype(np.int64), "root": ids[root[some]]})
 
-    tasks = exact_rows(reps, centres, least).groupBy("cell", "first", "second")
-    return tasks.applyInPandas(compare, "id bigint, links bigint, root bigint")
+    return tasks.groupBy("cell", "first", "second").applyInPandas(compare, "id bigint, links bigint, root bigint")
+
 
+def planted(reps: DataFrame, count: int, total: int, least: float) -> DataFrame:
+    """(id, vec, n): about ``count`` rows moved to a cosine between ``least`` and 1; ids are negative, ``n`` is 0."""
+    x = unit(sample(reps, count, total, "planted", "class"))
+    random = np.random.default_rng(11)
+    aside = random.normal(size=x.shape)
+    aside -= (aside * x).sum(1, keepdims=True) * x
+    norm = np.linalg.norm(aside, axis=1, keepdims=True)
+    aside = np.where(norm > 1e-9, aside / np.maximum(norm, 1e-9), 0)
+    cosine = random.uniform(least + 1e-6 * (1 - least), 1, (len(x), 1))
+    moved = cosine * x + np.sqrt(1 - cosine**2) * aside
+    return reps.sparkSession.createDataFrame([(-1 - k, v.tolist(), 0) for k, v in enumerate(moved)], "id bigint, vec array<double>, n bigint")
 
-def audit(reps: DataFrame, found: DataFrame, total: int, least: float, asked: int) -> float:
-    """The recall of about ``asked`` vectors, with which all rows are compared.
+
+def audit(reps: DataFrame, found: DataFrame, asked: DataFrame, least: float) -> float:
+    """The recall of the vectors of ``asked`` (a bounded number), with which all of ``reps`` are compared.
 
     It is the least of three: the share of their links that was found, the mean of the linked vectors'
     shares, and that mean with a weight for each group (a vector of n links counts 1/(n + 1)).
     """
-    chosen = reps.where(hashed_share(F.col("id"), asked, total, "audit")).orderBy("id").limit(2 * asked).select("id", "vec").collect()
+    chosen = asked.select("id", "vec").collect()
     ids, x = np.array([r["id"] for r in chosen]), unit(np.array([r["vec"] for r in chosen], np.float64))
     shared = reps.sparkSession.sparkContext.broadcast((ids, x))
 
@@ -318,6 +344,23 @@ def audit(reps: DataFrame, found: DataFrame, total: int, least: float, asked: in
     return 1.0 if recalls[0] is None else min(recalls)
 
 
+def graph_links(reps: DataFrame, least: float, least_recall: float, sample_rows: int, audited: int) -> DataFrame:
+    """(id, links, root) of vectors of one length: by the graph, or exactly if the audit does not pass."""
+    total = reps.count()
+    fitted = unit(sample(reps, sample_rows, total, "shards", "class"))
+    shards = max(1, min(-(-2 * total // SHARD), len(fitted) // 4))
+    centres = spherical_centres(fitted, shards, seed=3)
+    rows = reps.select("id", "vec", "n")
+    probes = cut(planted(reps, audited, total, least))
+    some = reps.where(hashed_share(F.col("class"), audited, total, "audit")).orderBy("class").limit(2 * audited)
+    for overlap in range(min(3, shards), min(6, shards) + 1):
+        found = cut(linked(rows.union(probes), centres, overlap, least))
+        # Planted vectors always have links; those of the rows may be of another kind, so both must do.
+        if min(audit(reps, found, asked, least) for asked in (probes, some)) >= least_recall:
+            return found.where("id >= 0")
+    return cut(all_links(exact_rows(reps, centres, least), least))
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str = "vec_id",
@@ -330,33 +373,31 @@ def near_duplicates(
     """``id_col``, n_links, component_id and kept of every row."""
     rows = pick(df, id=id_col, vec=vec_col)
     rows = rows.select(F.col("id").cast("bigint").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
-    good = cut(with_class(usable(rows)))
-    classes = cut(good.groupBy("class").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
-    own = good.join(classes.select("class", F.col("rep").alias("id"), "n"), ["class", "id"])
-    reps = cut(own.select("id", "vec", "n").dropDuplicates(["id"]))
-    total = reps.count()
-    if total == 0:
-        nothing = rows.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-        return nothing.withColumnRenamed("id", id_col)
-    fitted = unit(sample(reps, sample_rows, total, "shards"))
-    shards = max(1, min(-(-2 * total // SHARD), len(fitted) // 4))
-    centres = spherical_centres(fitted, shards, seed=3)
-    for overlap in range(min(3, shards), min(6, shards) + 1):
-        found = cut(linked(reps, centres, overlap, least))
-        if audit(reps, found, total, least, audited) >= least_recall:
-            break
+    good = cut(with_class(rows.where(USABLE)))
+    classes = good.groupBy("class").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("vec").alias("vec"))
+    # From here on a class is known by its own number.
+    reps = cut(classes.withColumn("id", F.monotonically_increasing_id()))
+    dims, more = lengths(reps, 2 * SHARD)
+    parts = [graph_links(reps.where(F.size("vec") == dim), least, least_recall, sample_rows, audited) for dim in dims]
+    if more:
+        few = reps.where(~F.size("vec").isin(dims)).withColumn("cell", F.size("vec"))
+        few = few.select("id", "vec", "n", "cell", F.lit(0).alias("first"), F.lit(0).alias("second"), F.lit(False).alias("half"))
+        parts.append(cut(all_links(few, least)))
+    groups = reps.select("class", "id", "rep", "n")
+    if parts:
+        found = reduce(DataFrame.union, parts)
+        components = connected_components(found, "id", "root").withColumnRenamed("component_id", "component")
+        least_id = components.join(groups, "id").groupBy("component").agg(F.min("rep").alias("component_id"))
+        degree = found.groupBy("id").agg(F.sum("links").alias("links"))
+        groups = groups.join(degree, "id", "left").join(components.join(least_id, "component"), "id", "left")
     else:
-        found = cut(exact_links(reps, centres, least))
-    components = connected_components(found, "id", "root")
-    degree = found.groupBy("id").agg(F.sum("links").alias("links"))
-    groups = classes.join(degree, classes["rep"] == degree["id"], "left").drop("id")
-    groups = groups.join(components, groups["rep"] == components["id"], "left").select(
+        groups = groups.withColumns({"links": F.lit(0), "component_id": F.col("rep")})
+    groups = groups.select(
         "class",
         (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("component_id", "rep").alias("component_id"),
     )
-    linkable = good.select("id", "class").join(groups, "class").drop("class")
-    others = rows.select("id").join(good.select("id").distinct(), "id", "left_anti")
-    others = others.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
-    out = linkable.select("id", "n_links", "component_id").union(others)
+    linkable = good.select("id", "class").join(groups, "class").select("id", "n_links", "component_id")
+    others = rows.where(f"NOT {USABLE}").select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
+    out = linkable.union(others)
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))).withColumnRenamed("id", id_col)

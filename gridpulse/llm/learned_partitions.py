@@ -3,12 +3,16 @@
 On a bounded sample: the graph of nearest neighbours is cut into parts of equal size that keep
 neighbours together, and a small network learns a vector's part (its own and its neighbours'). Every
 row goes to the part the network finds likeliest; a query is compared exactly with all rows of its
-likeliest parts. How many parts a query probes is chosen on the sample, so that ``target`` of the true
-neighbours are met. Parts are dealt in blocks of bounded size, queries too, so no part fills a task.
-
-Vectors that are null, zero or hold a null or non-finite component neither ask nor answer. Ties go to
-the smaller id. A row is never its own neighbour; ids that repeat ask once. With fewer candidates than
-``k`` all are returned. An empty table gives no rows. Fitting reads about ``sample_rows`` vectors.
+likeliest parts. How many parts a query probes is chosen on a fifth of the sample that the parts and the
+network have not seen, so that ``target`` of its true neighbours are met. Parts are dealt in blocks of
+bounded size, queries too, so no part fills a task.
+
+Vectors that are null, zero or hold a null or non-finite component neither ask nor answer. Vectors are
+compared with those of their own length: the most frequent length and each of over ``sample_rows`` rows
+have their own parts, any other length is one part. Ties go to the smaller id. A row is no neighbour of
+rows of its own id; an id that repeats asks once, with its least vector. A product beyond the range of doubles is left out. With
+fewer candidates than ``k`` all are returned. An empty table gives no rows. Fitting reads about
+``sample_rows`` vectors of a length, and there are 64 parts at most.
 """
 
 from __future__ import annotations
@@ -18,11 +22,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import cut, pick
-from gridpulse.llm.vectors import matrix, sample, stacked, usable
+from gridpulse.llm.common import cut
+from gridpulse.llm.vectors import USABLE, lengths, matrix, sample, stacked
 
 BLOCK = 4096
 
@@ -123,32 +128,26 @@ def train_router(x: np.ndarray, target: np.ndarray, width: int = 96, epochs: int
 
 
 def fit(x: np.ndarray, k: int, target: float, neighbours: int = 10) -> tuple[Router, int]:
-    """A router and the number of parts to probe."""
+    """A router and the number of parts to probe, chosen on a fifth of the rows that is kept from training."""
+    order = np.random.default_rng(7).permutation(len(x))
+    asked, x = x[order[: len(x) // 5]], x[order[len(x) // 5 :]]
     parts = 1 << max(0, min(6, (len(x) // 64).bit_length() - 1))
-    graph = neighbour_graph(x, min(neighbours, len(x) - 1)) if parts > 1 else np.zeros((len(x), 1), np.int64)
+    if parts == 1:
+        return train_router(x, np.ones((len(x), 1)), epochs=0), 1
+    graph = neighbour_graph(x, min(neighbours, len(x) - 1))
     part = balanced_parts(x, graph, parts)
     soft = np.bincount(np.repeat(np.arange(len(x)), graph.shape[1]) * parts + part[graph].ravel(), minlength=len(x) * parts)
     soft = soft.reshape(len(x), parts) / graph.shape[1]
-    soft = 0.5 * soft + 0.5 * np.eye(parts)[part]
-    router = train_router(x, soft) if parts > 1 else train_router(x, soft, epochs=0)
-    if parts == 1:
-        return router, 1
+    router = train_router(x, 0.5 * soft + 0.5 * np.eye(parts)[part])
     # Every row is found in its likeliest part: count in which place of a query's list that is.
-    asked = np.arange(0, len(x), max(1, len(x) // 400))
     found = router.scores(x).argmax(1)
-    place = (-router.scores(x[asked])).argsort(1, kind="stable").argsort(1, kind="stable")
-    near = neighbour_graph_of(x, asked, min(k, len(x) - 1))
+    place = (-router.scores(asked)).argsort(1, kind="stable").argsort(1, kind="stable")
+    near = np.argpartition(-(asked @ x.T), min(k, len(x)) - 1, axis=1)[:, : min(k, len(x))]
     ranks = place[np.arange(len(asked))[:, None], found[near]]
     share = np.array([(ranks < t).mean() for t in range(1, parts + 1)])
     return router, int(np.argmax(share >= min(target, share[-1]))) + 1
 
 
-def neighbour_graph_of(x: np.ndarray, asked: np.ndarray, k: int) -> np.ndarray:
-    s = x[asked] @ x.T
-    s[np.arange(len(asked)), asked] = -np.inf
-    return np.argpartition(-s, k - 1, axis=1)[:, :k]
-
-
 def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
     """Exact best ``k`` rows of a block for each query: largest inner product, then smaller id."""
     out_q, out_v, out_s = [], [], []
@@ -169,18 +168,25 @@ def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: n
     return pd.DataFrame({"query_id": out_q, "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)})
 
 
-def route(rows: DataFrame, router: Router, probes: int) -> DataFrame:
-    """Adds ``parts``: the ``probes`` likeliest, best first."""
-    shared = rows.sparkSession.sparkContext.broadcast(router)
+def route(rows: DataFrame, models: dict[int, tuple[Router, int]], own: bool = False) -> DataFrame:
+    """(id, vec, dim, part): a row for each part to probe of its length, or for the likeliest if ``own``."""
+    shared = rows.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                scores = shared.value.scores(matrix(batch.column("vec")))
-                parts = (-scores).argsort(1, kind="stable")[:, :probes]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(parts.astype(np.int32)))], names=["id", "vec", "parts"])
+            sizes = pc.list_value_length(batch.column("vec"))
+            for dim in sizes.unique().to_pylist():
+                some = batch.filter(pc.equal(sizes, dim))
+                parts = np.zeros((some.num_rows, 1), np.int32)
+                if dim in shared.value:
+                    router, probes = shared.value[dim]
+                    scores = router.scores(matrix(some.column("vec")))
+                    parts = (-scores).argsort(1, kind="stable")[:, : 1 if own else probes].astype(np.int32)
+                columns = [*some.columns, pa.array([dim] * len(parts), pa.int32()), pa.array(list(parts), pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "vec", "dim", "parts"])
 
-    return rows.select("id", "vec").mapInArrow(run, "id bigint, vec array<double>, parts array<int>")
+    routed = rows.select("id", "vec").mapInArrow(run, "id bigint, vec array<double>, dim int, parts array<int>")
+    return routed.select("id", "vec", "dim", F.explode("parts").alias("part"))
 
 
 def search(
@@ -192,42 +198,46 @@ def search(
     target: float = 0.97,
     sample_rows: int = 6000,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of every row where ``asks(id_col)``."""
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of every row where ``asks``."""
     spark = df.sparkSession
-    rows = pick(df.withColumn("__asks", asks), id=id_col, vec=vec_col, asks="__asks")
-    rows = rows.select(F.col("id").cast("bigint").alias("id"), F.col("vec").cast("array<double>").alias("vec"), "asks")
-    rows = cut(usable(rows))
-    total = rows.count()
-    if total == 0:
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{vec_col}`").cast("array<double>").alias("vec"), asks.alias("asks"))
+    rows = cut(rows.where(USABLE))
+    models: dict[int, tuple[Router, int]] = {}
+    for dim in lengths(rows, sample_rows)[0]:
+        own = rows.where(F.size("vec") == dim)
+        models[dim] = fit(sample(own, sample_rows, own.count(), "partitions", "id", "vec"), k, target)
+    if not models:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    router, probes = fit(sample(rows, sample_rows, total, "partitions"), k, target)
-    placed = cut(route(rows, router, 1).select("id", "vec", F.col("parts")[0].alias("part")))
-    sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}
-    parts = len(router.b2)
-    # A query must meet k rows besides its own even in the smallest parts.
-    while probes < parts and sum(sorted(sizes.get(p, 0) for p in range(parts))[:probes]) <= k:
-        probes += 1
-    asked = route(rows.where("asks").dropDuplicates(["id"]), router, probes)
-    asked = cut(asked.select("id", "vec", F.explode("parts").alias("part")))
-    askers = {r["part"]: r["n"] for r in asked.groupBy("part").agg(F.count("*").alias("n")).collect()}
-
-    def blocks(counts: dict[int, int]) -> Column:
-        pairs = [F.lit(x) for p, n in counts.items() for x in (p, -(-n // BLOCK))]
-        return F.coalesce(F.create_map(*pairs)[F.col("part")], F.lit(1)) if pairs else F.lit(1)
-
-    def dealt(table: DataFrame, own: str, other: str, mine: dict[int, int], theirs: dict[int, int]) -> DataFrame:
+    placed = cut(route(rows, models, own=True))
+    held_rows = placed.groupBy("dim", "part").agg(F.count("*").alias("n"))
+    sizes = {(r["dim"], r["part"]): r["n"] for r in held_rows.where(F.col("dim").isin(*models)).collect()}
+    for dim, (router, probes) in models.items():
+        # A query must meet k rows besides its own even in the smallest parts.
+        parts = len(router.b2)
+        smallest = sorted(sizes.get((dim, p), 0) for p in range(parts))
+        while probes < parts and sum(smallest[:probes]) <= k:
+            probes += 1
+        models[dim] = router, probes
+    asked = cut(route(rows.where("asks").groupBy("id").agg(F.min("vec").alias("vec")), models))
+
+    def blocks(table: DataFrame, name: str) -> DataFrame:
+        return table.groupBy("dim", "part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+
+    count = blocks(placed, "row_blocks").join(blocks(asked, "ask_blocks"), ["dim", "part"])
+
+    def dealt(table: DataFrame, own: str, mine: str, other: str, theirs: str) -> DataFrame:
         """Each row in one block of its own kind, and there once for each block of the other kind."""
-        table = table.withColumn(own, F.pmod(F.xxhash64("id"), blocks(mine)).cast("int"))
-        return table.withColumn(other, F.explode(F.sequence(F.lit(0), (blocks(theirs) - 1).cast("int"))))
+        table = table.join(count, ["dim", "part"]).withColumn(own, F.pmod(F.xxhash64("id", "vec"), F.col(mine)).cast("int"))
+        return table.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(theirs) - 1))).drop(mine, theirs)
 
     def compare(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or queries.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         return nearest(stacked(queries["vec"]), queries["id"].to_numpy(), stacked(rows["vec"]), rows["id"].to_numpy(), k)
 
-    key = ["part", "block", "query_block"]
-    held = dealt(placed, "block", "query_block", sizes, askers).groupBy(*key)
-    wanted = dealt(asked, "query_block", "block", askers, sizes).groupBy(*key)
+    key = ["dim", "part", "block", "query_block"]
+    held = dealt(placed, "block", "row_blocks", "query_block", "ask_blocks").groupBy(*key)
+    wanted = dealt(asked, "query_block", "ask_blocks", "block", "row_blocks").groupBy(*key)
     found = held.cogroup(wanted).applyInPandas(compare, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -9,22 +9,30 @@ from pyspark.sql import functions as F
 from gridpulse.llm.common import hashed_share
 
 
-def usable(rows: DataFrame) -> DataFrame:
-    """Rows of (id, vec) whose vector is not null, zero, or holds a null or non-finite component.
-
-    Of vectors of several lengths only those of the most frequent length (the longest, if tied) take part.
-    """
-    bad = "exists(vec, x -> x IS NULL OR isnan(x) OR abs(x) = double('Infinity'))"
-    good = rows.where(f"id IS NOT NULL AND vec IS NOT NULL AND NOT {bad} AND exists(vec, x -> x <> 0)")
-    sizes = good.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dim"))
-    first = sizes.first()
-    return good.where(F.size("vec") == (first["dim"] if first else 0))
-
-
-def sample(rows: DataFrame, bound: int, total: int, seed: str) -> np.ndarray:
-    """About ``bound`` vectors, chosen by a hash of the id."""
-    chosen = rows.where(hashed_share(F.col("id"), bound, total, seed)).orderBy("id").limit(2 * bound)
-    return np.array([r["vec"] for r in chosen.select("vec").collect()], np.float64)
+#: Of (id, vec): the vector is not null, zero, or holds a null or non-finite component, and has an id.
+USABLE = (
+    "coalesce(id IS NOT NULL AND vec IS NOT NULL AND exists(vec, x -> x <> 0) "
+    "AND NOT exists(vec, x -> x IS NULL OR isnan(x) OR abs(x) = double('Infinity')), false)"
+)
+
+
+def lengths(rows: DataFrame, many: int) -> tuple[list[int], bool]:
+    """The most frequent length of vectors and all of over ``many`` rows, and whether there are others."""
+    sizes = rows.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n"))
+    found = sizes.agg(
+        F.max_by("dim", F.struct("n", "dim")).alias("top"),
+        F.collect_set(F.when(F.col("n") > many, F.col("dim"))).alias("large"),
+        F.count("*").alias("all"),
+    ).first()
+    dims = sorted({*found["large"], *([found["top"]] if found["all"] else [])})
+    return dims, found["all"] > len(dims)
+
+
+def sample(rows: DataFrame, bound: int, total: int, seed: str, *keys: str) -> np.ndarray:
+    """About ``bound`` vectors, chosen by a hash of ``keys``; the first rows if none has a chosen hash."""
+    chosen = rows.where(hashed_share(F.xxhash64(*keys), bound, total, seed)).orderBy(*keys)
+    found = chosen.limit(2 * bound).select("vec").collect() or rows.orderBy(*keys).limit(64).select("vec").collect()
+    return np.array([r["vec"] for r in found], np.float64)
 
 
 def matrix(column) -> np.ndarray:

@@ -167,14 +167,64 @@ def test_audit_is_not_hidden_by_a_large_group(spark, frames):
     x, near, group = skewed(spark, frames)
     reps = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x.astype(float))], "id BIGINT, vec ARRAY<DOUBLE>, n BIGINT")
     assert near[:400].sum() - 400 >= 0.99 * (near.sum() - 560)
-    assert flat_graph.audit(reps, group, 560, 0.95, 1000) < 0.5
+    assert flat_graph.audit(reps, group, reps, 0.95) < 0.5
+
+
+def test_planted_vectors_have_links_where_rows_have_none(spark, frames, monkeypatch):
+    x = flat_graph.unit(np.random.default_rng(12).normal(size=(300, 24)))
+    assert (x @ x.T - np.eye(300)).max() < 0.95
+    rows = [(i, v.tolist(), 1, str(i)) for i, v in enumerate(x)]
+    reps = spark.createDataFrame(rows, "id BIGINT, vec ARRAY<DOUBLE>, n BIGINT, class STRING")
+    probes = flat_graph.planted(reps, 512, 300, 0.95)
+    moved = np.array([r["vec"] for r in probes.orderBy(F.desc("id")).collect()])
+    near = moved @ x.T >= 0.95
+    assert len(moved) == 300 and near.any(1).all()
+    nothing = spark.createDataFrame([], "id BIGINT, links BIGINT, root BIGINT")
+    assert flat_graph.audit(reps, nothing, probes, 0.95) == 0.0
+    assert flat_graph.audit(reps, nothing, reps, 0.95) == 1.0
+    centres = flat_graph.spherical_centres(x, 2, seed=3)
+    found = flat_graph.linked(reps.select("id", "vec", "n").union(probes), centres, 2, 0.95)
+    assert flat_graph.audit(reps, found, probes, 0.95) == 1.0
+    # Planted vectors neither count nor join: only they have links.
+    assert all(r["id"] < 0 and r["id"] == r["root"] for r in found.collect())
+    # A search that finds nothing does not pass: the exact way is taken.
+    taken = []
+    exact = flat_graph.exact_rows
+    monkeypatch.setattr(flat_graph, "linked", lambda *_: nothing)
+    monkeypatch.setattr(flat_graph, "exact_rows", lambda *a: taken.append(1) or exact(*a))
+    got = flat_graph.near_duplicates(frames.vectors([(i, v.tolist()) for i, v in enumerate(x)])).collect()
+    assert taken and len(got) == 300 and all(r["n_links"] == 0 and r["kept"] for r in got)
+
+
+def test_vectors_of_several_lengths_and_contents(frames):
+    rng = np.random.default_rng(3)
+    long, short = rng.normal(size=(40, 8)), rng.normal(size=(6, 5))
+    long[1], short[1] = long[0] * 2, short[0] * 2
+    rows = [(i, v.tolist()) for i, v in enumerate(long)] + [(100 + i, v.tolist()) for i, v in enumerate(short)]
+    # One id with two vectors and one without; each row has the links of its own vector.
+    rows += [(500, (long[5] * 3).tolist()), (500, (short[3] * 3).tolist()), (500, None)]
+    got = [tuple(r) for r in flat_graph.near_duplicates(frames.vectors(rows)).collect()]
+    assert len(got) == len(rows)
+    want = {i: (0, i, True) for i, _ in rows} | {0: (1, 0, True), 1: (1, 0, False), 100: (1, 100, True), 101: (1, 100, False)}
+    want |= {5: (1, 5, True), 103: (1, 103, True)}
+    assert {g[0]: g[1:] for g in got if g[0] != 500} == {i: w for i, w in want.items() if i != 500}
+    assert sorted(g[1:] for g in got if g[0] == 500) == [(0, 500, True), (1, 5, False), (1, 103, False)]
+    found = learned_partitions.search(frames.vectors(rows), F.col("vec_id").isin(7, 100), k=50).toPandas()
+    assert set(found[found["query_id"] == 7]["vec_id"]) == {*range(40), 500} - {7}
+    assert set(found[found["query_id"] == 100]["vec_id"]) == {101, 102, 103, 104, 105, 500}
 
 
 @pytest.mark.parametrize("size", [1024, 64])
 def test_links_that_the_search_misses_are_found_exactly(spark, frames, monkeypatch, size):
     x, near, group = skewed(spark, frames)
     monkeypatch.setattr(flat_graph, "SHARD", size)
-    monkeypatch.setattr(flat_graph, "linked", lambda *_: group)
+    real = flat_graph.linked
+
+    def only_group(*args):
+        sums = real(*args).groupBy("id").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
+        return sums.where("links > 100")
+
+    monkeypatch.setattr(flat_graph, "linked", only_group)
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     got = {r["vec_id"]: r for r in flat_graph.near_duplicates(frames.vectors([*rows, (900, rows[500][1])])).collect()}
     want, twin = roots(range(560), lambda a, b: near[a, b]), near[500]
@@ -220,6 +270,33 @@ def test_learned_partitions_recall_and_order(frames):
     assert got["query_id"].nunique() == 150 and hits >= 0.9 * 3000
 
 
+def test_learned_partitions_beyond_the_sample(frames):
+    # Clusters, four times as many rows as fitting reads: few parts are probed, and recall holds.
+    rng = np.random.default_rng(9)
+    x = (rng.normal(size=(40, 16)) * 2)[rng.integers(40, size=6000)] + rng.normal(size=(6000, 16)) * 0.7
+    x = x.astype(np.float32).astype(float)
+    router, probes = learned_partitions.fit(x[:1500], 20, 0.97)
+    assert probes <= len(router.b2) // 2
+    df = frames.vectors([(i, v.tolist()) for i, v in enumerate(x)])
+    got = learned_partitions.search(df, F.col("vec_id") % 20 == 0, sample_rows=1500).toPandas()
+    hits = 0
+    for q, part in got.groupby("query_id"):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:20]) & set(part["vec_id"]))
+    assert len(got) == 6000 and hits >= 0.95 * 6000
+
+
+def test_learned_partitions_of_few_distinct_ids(frames):
+    rng = np.random.default_rng(2)
+    rows = [(i % 2, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 4)))]
+    got = learned_partitions.search(frames.vectors(rows), F.col("vec_id") == 0, sample_rows=50)
+    assert got.count() == 20 and {r["vec_id"] for r in got.collect()} == {1}
+    same = frames.vectors([(7, [1.0, 2.0])] * 300 + [(8, [1.0, 1.0])])
+    got = learned_partitions.search(same, F.lit(True), sample_rows=10).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["vec_id"]) for r in got] == [(7, 8)] + [(8, 7)] * 20
+
+
 def test_learned_partitions_of_few_rows(frames):
     few = frames.vectors([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [2.0, 0.0]), (0, [1.0, 0.0]), (40, None)], extra=True)
     got = learned_partitions.search(few, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
