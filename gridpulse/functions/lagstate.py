@@ -1,9 +1,8 @@
-"""Lag state kept as one array per row, oldest value first: ``[lag_n, ..., lag_1]``."""
+"""Lag state kept as one array per row, oldest value first: it ends with ``lag_n, ..., lag_1``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from gridpulse.functions.calendar import aliased, calendar_features
 from gridpulse.spec import SeriesSpec, lag_name, mean_name
@@ -25,15 +24,10 @@ def features_from_lags(df: DataFrame, spec: SeriesSpec, keep: list[str]) -> Data
     )
 
 
-def advance(lags: Column, value: Column, spec: SeriesSpec) -> Column:
-    """Drop the oldest lag and append ``value`` as the new ``lag_1``."""
-    return F.concat(F.slice(lags, 2, spec.max_lag - 1), F.array(value))
-
-
 def features_of_state(
     df: DataFrame, spec: SeriesSpec, keep: list[str], lags: str = "_lags"
 ) -> DataFrame:
-    """``keep`` and the feature list of rows whose lags are the array column ``lags``."""
+    """``keep`` and the feature list of rows whose lags are the last values of the array column ``lags``."""
     spread = df.selectExpr(
         *[f"`{name}`" for name in dict.fromkeys([*keep, spec.time_col])],
         *[f"element_at({lags}, {-k}) AS {lag_name(k)}" for k in spec.lags],

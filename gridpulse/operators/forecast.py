@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.lagstate import advance, features_from_lags, features_of_state
+from gridpulse.functions.lagstate import features_from_lags, features_of_state
 from gridpulse.functions.timegrid import shift
 from gridpulse.operators.blocks import attach_per_series
 from gridpulse.operators.features import latest_per_series
@@ -71,39 +71,33 @@ def forecast_path(
 ) -> DataFrame:
     """Advance every state row ``horizon`` steps, each forecast becoming the next step's ``lag_1``.
 
-    The steps pile up in an array column of the same row, so the plan grows linearly with the
-    horizon and nothing is shuffled. Returns one row per state row and step, with the columns of
-    ``state``, ``step``, and ``forecast``; ``_lags`` are the lags that step was predicted from.
+    Forecasts are appended to the array of lags, whose end is all that a step reads. So a row grows by
+    one number a step, the plan is linear in the horizon and nothing is shuffled. Returns one row per
+    state row and step, with the columns of ``state``, ``step``, and ``forecast``; ``_lags`` are the
+    lags that step was predicted from.
     """
     ids = [c for c in state.columns if c not in (spec.time_col, "_lags")]
-    ts, lags = F.col(spec.time_col), F.col("_lags")
-    current = state.withColumn("_path", F.expr("array()"))
+    ts, values = F.col(spec.time_col), F.col("_lags")
+    current = state
     for step in range(1, horizon + 1):
-        features = features_of_state(current, spec, [*ids, spec.time_col, "_lags", "_path"])
-        forecast = F.col("_forecast")
-        entry = F.struct(
-            F.lit(step).alias("step"), ts.alias("ts"), lags.alias("lags"), forecast.alias("forecast")
-        )
-        path = F.array(entry) if step == 1 else F.concat("_path", F.array(entry))
-        current = (
-            predictor(features)
-            .withColumn("_forecast", clean_forecast(F.col("yhat")))
-            .select(
-                *ids,
-                shift(ts, spec.every).alias(spec.time_col),
-                advance(lags, forecast, spec).alias("_lags"),
-                path.alias("_path"),
-            )
+        features = features_of_state(current, spec, [*ids, spec.time_col, "_lags"])
+        current = predictor(features).select(
+            *ids,
+            shift(ts, spec.every).alias(spec.time_col),
+            F.concat(values, F.array(clean_forecast(F.col("yhat")))).alias("_lags"),
         )
         if step % STEPS_PER_PLAN == 0 and step < horizon:
             current = cut_lineage(current)
+    times = F.sequence(shift(ts, -horizon * spec.every), shift(ts, -spec.every), F.lit(spec.every))
     # Outer, because a plain explode adds a non-empty test that the optimizer pushes through every step.
-    return current.select(*ids, F.explode_outer("_path").alias("_p")).select(
+    steps = current.select(*ids, values, F.posexplode_outer(times).alias("_place", spec.time_col))
+    place = F.col("_place")
+    return steps.select(
         *ids,
-        F.col("_p.ts").alias(spec.time_col),
-        F.col("_p.lags").alias("_lags"),
-        F.col("_p.step").alias("step"),
-        F.col("_p.forecast").alias("forecast"),
+        ts,
+        F.slice(values, place + 1, spec.max_lag).alias("_lags"),
+        (place + 1).alias("step"),
+        F.get(values, place + spec.max_lag).alias("forecast"),
     )
 
 
