@@ -10,20 +10,20 @@ Training reads about ``docs_per_lang`` labelled texts of each language (chosen b
 every run); scoring reads every whole text, keeps a bounded memo of runs, and does not shuffle. Letters
 are lower-cased; a run of over 64 letters is scored in parts of 64.
 
-Null or empty text, or one without a letter, is ``und`` with score 0; so is every text if nothing was
+Null or empty text, or one without a letter (numerals like ½ or Ⅷ are none), is ``und`` with score 0; so is every text if nothing was
 learned. Equal likelihoods go to the first language in order of name. Repeated rows score alike.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +31,7 @@ from gridpulse.llm.common import cut, hashed_share, pick
 from gridpulse.llm.wordbpe import byte_letters
 
 VOCABULARY = "word_bpe_49k.json"
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 END = "\x01"
 RESCALED = 8
 LONGEST_WORD = 64

@@ -97,13 +97,13 @@ def test_long_words_do_not_underflow(model):
 
 
 def test_languages_of_odd_texts(spark, frames, model, odd_rows):
-    rows = [*odd_rows, (20, "12 34 !?"), (21, "Der und nicht das"), (22, "THE of THAT was"), (23, "the-of,and.to")]
+    rows = [*odd_rows, (20, "12 34 !? ½ ² Ⅷ ①"), (24, "the½of"), (21, "Der und nicht das"), (22, "THE of THAT was"), (23, "the-of,and.to")]
     got = langid.predict(frames.docs(rows, extra=True), model).collect()
     assert len(got) == len(rows)
     found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in got}
     for i in (1, 2, 3, 20):
         assert found[i] == ("und", 0.0)
-    assert found[21][0] == "de" and found[22][0] == found[23][0] == "en"
+    assert found[21][0] == "de" and found[22][0] == found[23][0] == found[24][0] == "en"
     assert all(0 <= r["score"] <= 1 and r["lang_pred"] in ("und", "de", "en") for r in got)
 
 
