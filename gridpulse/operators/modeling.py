@@ -5,7 +5,8 @@ from __future__ import annotations
 import random
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Executor, ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
@@ -23,11 +24,13 @@ from gridpulse.operators.ridge import FoldMoments, fold_moments
 from gridpulse.operators.split import fold_boundaries
 from gridpulse.operators.tuning import Range, search
 from gridpulse.sources.manifest import Manifest
-from gridpulse.sources.tables import append_plain
+from gridpulse.sources.tables import append_plain, cut_lineage
 from gridpulse.spec import LINEAGE_SCHEMA, SeriesSpec
 
 VECTOR = "_features"
 VALIDATION = "_validation"
+#: A tree level is one job over all rows; with fewer rows a task, starting tasks costs more than their work.
+TASK_ROWS = 16_384
 
 
 @dataclass(frozen=True)
@@ -125,6 +128,20 @@ def training_columns(frame: DataFrame, spec: SeriesSpec) -> DataFrame:
     )
 
 
+def compact(frame: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The rows of a cached frame, cached anew without its lineage and in partitions of about ``task_rows``.
+
+    Boosting runs jobs by the thousand over the same rows: each has a task for every partition, and its
+    plan is compared with the cached one, which takes long for plans of many joins and windows. A frame
+    of fewer partitions keeps them.
+    """
+    partitions = max(1, -(-frame.count() // task_rows))
+    packed = cut_lineage(frame.coalesce(partitions)).persist()
+    packed.count()
+    frame.unpersist()
+    return packed
+
+
 def stopping_round(losses: list[float], patience: int) -> int:
     """Rounds to keep: up to the least loss before ``patience`` rounds in a row brought no gain."""
     best = 0
@@ -196,12 +213,13 @@ def walk_forward(
     parallelism: int = 4,
     refit_all: bool = False,
     moments: FoldMoments | None = None,
+    pool: Executor | None = None,
 ) -> Trained:
     """Fit on each fold's train part, score on its validation part, average the RMSE.
 
     The returned model is the last fold's; with ``refit_all`` it is fitted on all rows, with as many
     trees as the last fold kept. Folds are independent jobs on one cached frame, submitted
-    ``parallelism`` at a time. Folds of a linear model are scored from ``moments``, which are gathered
+    ``parallelism`` at a time or as ``pool`` takes them. Folds of a linear model are scored from ``moments``, which are gathered
     in one pass if they are not given; given moments leave the model out.
     """
     if candidate.penalty:
@@ -210,8 +228,8 @@ def walk_forward(
     data = training_columns(frame, spec)
     folds = folds or collect_folds(data, spec, k)
     pipeline = candidate.build(spec, params)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        fitted = list(pool.map(lambda bounds: _fit_fold(data, pipeline, spec, bounds, candidate.patience), folds))
+    with nullcontext(pool) if pool else ThreadPoolExecutor(max_workers=parallelism) as workers:
+        fitted = list(workers.map(lambda bounds: _fit_fold(data, pipeline, spec, bounds, candidate.patience), folds))
     model = fitted[-1][0]
     if refit_all:
         kept = getattr(model.stages[-1], "getNumTrees", None)
@@ -277,16 +295,19 @@ def tune(
     parallelism: int = 4,
     untuned_rmse: float | None = None,
 ) -> tuple[Trained, list[Trained]]:
-    """Seeded random search; the best trial is refitted and adopted, even if no better than before."""
+    """Seeded random search; the best trial is refitted and adopted, even if no better than before.
+
+    ``parallelism`` folds are fitted at a time, whichever trials they belong to.
+    """
     data = training_columns(frame, spec)
     folds = collect_folds(data, spec, k)
     moments = fold_moments(data, spec.feature_names, spec, folds) if candidate.penalty else None
-    trials = [
-        walk_forward(
-            frame, candidate, spec, params=params, folds=folds, parallelism=parallelism, moments=moments
-        )
-        for params in draw_params(candidate, n_trials, seed)
-    ]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool, ThreadPoolExecutor(max_workers=parallelism) as some:
+
+        def trial(params: dict[str, Any]) -> Trained:
+            return walk_forward(frame, candidate, spec, params=params, folds=folds, moments=moments, pool=pool)
+
+        trials = list(some.map(trial, draw_params(candidate, n_trials, seed)))
     best = min(trials, key=lambda t: t.rmse)
     final = walk_forward(
         frame, candidate, spec, params=best.params, folds=folds, parallelism=parallelism

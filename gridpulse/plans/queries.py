@@ -476,7 +476,7 @@ def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def tuning_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = training_frame(spark, sf_dir)
+    frame = modeling.compact(training_frame(spark, sf_dir))
     try:
         boosted = modeling.default_candidates()[0]
         _, trials = modeling.tune(frame, boosted, PANEL, n_trials=20, k=FOLDS, seed=7)
