@@ -17,6 +17,8 @@ from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: str.split() also splits at these four, which are no white space in Unicode.
@@ -38,6 +40,18 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
+def numbered_runs(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Runs without Unicode white space of all texts, numbered by their distinct ones, and where each text begins.
+
+    Empty runs stand where white space begins or ends a text. Arrow splits where str.split() does.
+    """
+    if any(map(SEPARATORS.search, texts)):
+        split = pa.array(map(split_words, texts), pa.list_(pa.string()))
+    else:
+        split = pc.utf8_split_whitespace(pa.array(texts, pa.string()))
+    return split.flatten().dictionary_encode(), split.offsets.to_numpy()
+
+
 def sufficient_lookahead(merges: list[tuple[str, str]], mark: str) -> int:
     """Symbols that must follow a token's end before no further text can change it.
 
@@ -74,7 +88,7 @@ class WordCodec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pattern = regex.compile(split["pattern"]["Regex"])
+        self.lines = regex.compile(rf"(?:{split['pattern']['Regex']})|\n")
         letters = byte_letters()
         self.symbols = [self.vocab.get(c) for c in letters]
         self.final = {self.vocab.get(c): self.vocab.get(c + self.mark) for c in letters}
@@ -191,39 +205,34 @@ class WordCodec:
                 ranks = np.empty((len(numbers), 0), np.int64)
         return out
 
-    def _cut(self, run: str) -> list[str]:
-        """The pattern's words of a run without special tokens."""
-        if run.isascii():
-            if run.isalpha():
-                return [run.lower()]
-            if run[:-1].isalpha():
-                return [run[:-1].lower(), run[-1]]
-            return self.pattern.findall(run.lower())
-        return self.pattern.findall("".join(map(str.lower, unicodedata.normalize("NFC", run))))
+    def _cut(self, runs: list[str]) -> list[str]:
+        """The pattern's words of runs without special tokens, a line's end behind those of each run.
+
+        A line's end is white space, which no word holds and nothing composes with. Letters are lowered
+        one by one, so a capital sigma never becomes the one that ends words.
+        """
+        lines = unicodedata.normalize("NFC", "".join([f"{run}\n" for run in runs]))
+        return self.lines.findall(lines.replace("\u03a3", "\u03c3").lower())
 
     def _sections(self, run: str) -> list[str | int]:
         """Words and ids of special tokens, in order."""
-        if "<" not in run or not self.specials.search(run):
-            return self._cut(run)
         out, at = [], 0
         for m in self.specials.finditer(run):
-            out += [*self._cut(run[at : m.start()]), self.special[m[0]]] if m.start() > at else [self.special[m[0]]]
+            out += [*self._cut([run[at : m.start()]])[:-1], self.special[m[0]]]
             at = m.end()
-        return out + (self._cut(run[at:]) if at < len(run) else [])
+        return out + self._cut([run[at:]])[:-1]
 
     def _learn(self, runs: Iterable[str]) -> None:
-        # Most runs are letters of ASCII, or those and one mark; they need no pattern and no lists.
-        plain, marked, cut = {}, {}, {}
+        plain, special = [], {}
         for run in runs:
-            if run.isascii() and run.isalpha():
-                plain[run] = run.lower()
-            elif run.isascii() and run[:-1].isalpha() and run[-1] != "<":
-                marked[run] = run[:-1].lower(), run[-1]
+            if "<" in run and self.specials.search(run):
+                special[run] = self._sections(run)
             else:
-                cut[run] = self._sections(run)
-        new = {p for parts in cut.values() for p in parts if isinstance(p, str)}
-        new.update(plain.values(), itertools.chain.from_iterable(marked.values()))
-        new = list(new.difference(self.parts))
+                plain.append(run)
+        words = self._cut(plain)
+        new = set(words).difference(self.parts, "\n")
+        new.update(p for parts in special.values() for p in parts if isinstance(p, str) and p not in self.parts)
+        new = list(new)
         coded = [p.encode() for p in new]
         fits = [i for i, c in enumerate(coded) if len(c) <= 48]
         self.parts.update(zip([new[i] for i in fits], self._merge_batch([coded[i] for i in fits]), strict=True))
@@ -231,34 +240,49 @@ class WordCodec:
             if len(c) > 48:
                 self.parts[part] = array("I", self.transduce(c)).tobytes()
         code = lambda p: self.parts[p] if isinstance(p, str) else array("I", [p]).tobytes()
-        known = self.parts
-        self.words.update({run: known[word] for run, word in plain.items()})
-        self.words.update({run: known[word] + known[mark] for run, (word, mark) in marked.items()})
-        self.words.update({run: b"".join(map(code, parts)) for run, parts in cut.items()})
-
-    def encode_all(self, texts: Iterable[str], group: int = 1 << 20) -> Iterator[bytes]:
+        known, following = self.parts.__getitem__, iter(words).__next__
+        self.words.update({run: b"".join(map(known, iter(following, "\n"))) for run in plain})
+        self.words.update({run: b"".join(map(code, parts)) for run, parts in special.items()})
+
+    def _ids_of(self, runs: list[str]) -> list[bytes]:
+        """Ids of distinct runs; what is new among them is learned."""
+        found = list(map(self.words.get, runs))
+        if None in found:
+            self._learn([run for run, ids in zip(runs, found, strict=True) if ids is None])
+            found = [self.words[run] if ids is None else ids for run, ids in zip(runs, found, strict=True)]
+            for memo in (self.words, self.parts):
+                if len(memo) > self.memo_words:
+                    # The older half goes; what is frequent soon comes back.
+                    for key in list(itertools.islice(memo, len(memo) // 2)):
+                        del memo[key]
+        return found
+
+    def _encode_group(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text: those of the group's distinct runs, gathered by the numbers of all its runs."""
+        runs, begins = numbered_runs(texts)
+        numbers = runs.indices.to_numpy()
+        found = self._ids_of(runs.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        ids = np.frombuffer(b"".join(found), "<u4")
+        counts = sizes[numbers]
+        ends = np.r_[0, np.cumsum(counts)]
+        places = np.repeat((np.cumsum(sizes) - sizes)[numbers] - ends[:-1], counts)
+        places += np.arange(len(places))
+        ids = ids[places]
+        for begin, end in itertools.pairwise(ends[begins].tolist()):
+            yield ids[begin:end].tobytes()
+
+    def encode_all(self, texts: Iterable[str], group: int = 1 << 22) -> Iterator[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit integers; ``group`` letters at a time."""
-        texts, held, size = iter(texts), [], 0
-        for text in itertools.chain(texts, [None]):
-            if text is not None:
-                held.append(split_words(text))
-                size += len(text)
-            if held and (text is None or size >= group):
-                found = list(map(self.words.get, itertools.chain.from_iterable(held)))
-                if None in found:
-                    every = itertools.chain.from_iterable(held)
-                    self._learn({run for run, ids in zip(every, found, strict=True) if ids is None})
-                    every = itertools.chain.from_iterable(held)
-                    found = [self.words[run] if ids is None else ids for run, ids in zip(every, found, strict=True)]
-                for memo in (self.words, self.parts):
-                    if len(memo) > self.memo_words:
-                        # The older half goes; what is frequent soon comes back.
-                        for key in list(itertools.islice(memo, len(memo) // 2)):
-                            del memo[key]
-                found = iter(found)
-                for runs in held:
-                    yield b"".join(itertools.islice(found, len(runs)))
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= group:
+                yield from self._encode_group(held)
                 held, size = [], 0
+        if held:
+            yield from self._encode_group(held)
 
     def encode(self, text: str) -> bytes:
         return next(self.encode_all([text]), b"")
